@@ -1,0 +1,184 @@
+"""A dataset that keeps its snapshots.
+
+Layout below the table's folder::
+
+    data/lineage=<l>/snapshot_id=<n>/part-*.parquet   rows written by snapshot n
+    log/snapshot_id=<n>/part-*.json                   one row per snapshot
+
+A snapshot exists once its log row does; that row is written last.  A writer
+that died before left data of an id no log row has, which no read looks at and
+the next commit of that id overwrites.  One writer at a time is assumed.
+
+Rows are read by partition: a lineage is what accumulated since the last
+replacement, and a snapshot sees its lineage's ids up to its own, less those it
+or an earlier one rewrote.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+LOG_SCHEMA = (
+    "snapshot_id bigint, parent_id bigint, committed_at timestamp, operation string, "
+    "lineage bigint, rewritten array<bigint>, table_schema string"
+)
+
+
+@dataclass(frozen=True)
+class VersionedTable:
+    spark: SparkSession
+    path: str
+
+    # -- writing -----------------------------------------------------------
+
+    def create(self, schema: T.StructType, if_absent: bool = False) -> int:
+        """Start the table empty, with typed and commented columns."""
+        if if_absent and self._last() is not None:
+            return self._last().snapshot_id
+        return self.replace(self.spark.createDataFrame([], schema))
+
+    def replace(self, df: DataFrame) -> int:
+        """Replace rows and schema; earlier snapshots stay readable."""
+        last = self._last()
+        new = last.snapshot_id + 1 if last else 1
+        operation = "replace" if last else "create"
+        return self._commit(df, new, last, operation, lineage=new, rewritten=[], schema=df.schema)
+
+    def append(self, df: DataFrame) -> int:
+        """Add rows; they must have the table's columns, in any order."""
+        last = self._existing()
+        schema = T.StructType.fromJson(_json(last.table_schema))
+        if sorted(df.columns) != sorted(schema.fieldNames()):
+            raise ValueError(f"columns {df.columns} do not match the table's {schema.fieldNames()}")
+        rows = df.select(*[F.col(_q(f.name)).cast(f.dataType).alias(f.name) for f in schema])
+        return self._commit(rows, last.snapshot_id + 1, last, "append", last.lineage, [], schema)
+
+    def update(self, assignments: dict[str, Column | str], where: Column | str) -> int:
+        """Change rows; only snapshots with a matching row are rewritten."""
+        last = self._existing()
+        schema = T.StructType.fromJson(_json(last.table_schema))
+        unknown = set(assignments) - set(schema.fieldNames())
+        if unknown:
+            raise ValueError(f"no such columns: {sorted(unknown)}")
+        matches = F.coalesce(_expr(where), F.lit(False))
+        rows = self._rows(last)
+        touched = [r.snapshot_id for r in rows.filter(matches).select("snapshot_id").distinct().collect()]
+        if not touched:
+            return last.snapshot_id
+        changed = rows.filter(F.col("snapshot_id").isin(touched)).select(
+            *[
+                F.when(matches, _expr(assignments[f.name]).cast(f.dataType)).otherwise(F.col(_q(f.name))).alias(f.name)
+                if f.name in assignments
+                else F.col(_q(f.name))
+                for f in schema
+            ]
+        )
+        return self._commit(changed, last.snapshot_id + 1, last, "overwrite", last.lineage, touched, schema)
+
+    def _commit(self, df, new, last, operation, lineage, rewritten, schema) -> int:
+        folder = f"{self.path}/data/lineage={lineage}/snapshot_id={new}"
+        df.write.mode("overwrite").option("compression", "snappy").parquet(folder)
+        entry = [
+            (
+                new,
+                last.snapshot_id if last else None,
+                dt.datetime.now(dt.timezone.utc),
+                operation,
+                lineage,
+                rewritten,
+                schema.json(),
+            )
+        ]
+        log = self.spark.createDataFrame(entry, LOG_SCHEMA).coalesce(1).drop("snapshot_id")
+        log.write.mode("overwrite").json(f"{self.path}/log/snapshot_id={new}")
+        return new
+
+    # -- reading -----------------------------------------------------------
+
+    def log(self) -> DataFrame:
+        """The snapshots, oldest first: ``snapshot_id``, ``committed_at``, ``operation``."""
+        return self._log().select("snapshot_id", "committed_at", "operation").orderBy("committed_at", "snapshot_id")
+
+    def current(self) -> DataFrame:
+        return self._plain(self._existing())
+
+    def as_of(self, snapshot_id: int) -> DataFrame:
+        """The table as that snapshot left it."""
+        return self._plain(self._snapshot(snapshot_id))
+
+    def as_of_view(self, name: str, snapshot_id: int) -> DataFrame:
+        """The same as a temporary view for SQL."""
+        df = self.as_of(snapshot_id)
+        df.createOrReplaceTempView(name)
+        return df
+
+    def previous_id(self) -> int:
+        """The second newest snapshot."""
+        newest = self._log().orderBy(F.desc("committed_at"), F.desc("snapshot_id")).select("snapshot_id").head(2)
+        if len(newest) < 2:
+            raise ValueError(f"{self.path} has no previous snapshot")
+        return newest[1].snapshot_id
+
+    def _plain(self, snapshot: Row) -> DataFrame:
+        return self._rows(snapshot).drop("snapshot_id")
+
+    def _rows(self, snapshot: Row) -> DataFrame:
+        schema = T.StructType.fromJson(_json(snapshot.table_schema))
+        stored = (
+            self.spark.read.schema(T.StructType([*schema.fields, T.StructField("snapshot_id", T.LongType())]))
+            .parquet(f"{self.path}/data/lineage={snapshot.lineage}")
+            .filter(F.col("snapshot_id") <= snapshot.snapshot_id)
+        )
+        rewritten = self._rewritten(snapshot)
+        return stored.filter(~F.col("snapshot_id").isin(rewritten)) if rewritten else stored
+
+    def _rewritten(self, snapshot: Row) -> list[int]:
+        """Ids of this lineage whose rows a later snapshot holds; metadata, not rows."""
+        seen = self._log().filter(
+            (F.col("lineage") == snapshot.lineage) & (F.col("snapshot_id") <= snapshot.snapshot_id)
+        )
+        return [r[0] for r in seen.select(F.explode("rewritten")).distinct().collect()]
+
+    def _log(self) -> DataFrame:
+        return self.spark.read.schema(LOG_SCHEMA).json(f"{self.path}/log")
+
+    def _last(self) -> Row | None:
+        from pyspark.errors import AnalysisException
+
+        try:
+            return self._log().orderBy(F.desc("snapshot_id")).head()
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+
+    def _existing(self) -> Row:
+        last = self._last()
+        if last is None:
+            raise ValueError(f"{self.path} is not a table yet")
+        return last
+
+    def _snapshot(self, snapshot_id: int) -> Row:
+        found = self._log().filter(F.col("snapshot_id") == snapshot_id).head()
+        if found is None:
+            raise ValueError(f"{self.path} has no snapshot {snapshot_id}")
+        return found
+
+
+def _json(text: str) -> dict:
+    import json
+
+    return json.loads(text)
+
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _expr(value: Column | str) -> Column:
+    return F.expr(value) if isinstance(value, str) else value
