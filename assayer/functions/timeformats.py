@@ -24,6 +24,9 @@ DIRECTIVES = {
     "%": r"%",
 }
 
+END = r"\z"
+MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+
 # Layouts taken as a date or time besides ISO 8601 text, which
 # a plain cast understands.  Each is a strftime pattern.
 COMMON_LAYOUTS = (
@@ -51,31 +54,24 @@ def matches_strftime(text: str, pattern: str) -> str:
     """SQL that is true where ``text`` parses with the strftime pattern.
 
     The pattern becomes one anchored regex; if it has a day, the day is also
-    checked against its month.
+    checked against its month.  Without a year it is that of 1900, as in strptime.
     """
     regex, groups = _regex(pattern)
     matched = f"{text} RLIKE {quote(regex)}"
     if "d" not in groups:
         return matched
+    if pattern == "%Y-%m-%d":
+        return f"CASE WHEN {matched} THEN TRY_CAST({text} AS DATE) IS NOT NULL ELSE false END"
 
-    def part(letter: str, otherwise: str) -> str:
-        if letter not in groups:
-            return otherwise
-        return f"regexp_extract({text}, {quote(regex)}, {groups[letter]})"
-
-    if "Y" in groups:
-        year = part("Y", "")
-    elif "y" in groups:
-        year = f"concat('20', {part('y', '')})"
-    else:
-        year = "'1900'"
-    if "b" in groups or "B" in groups:
-        name = f"lower(substring({part('b', '') if 'b' in groups else part('B', '')}, 1, 3))"
-        month = f"(locate({name}, 'janfebmaraprmayjunjulaugsepoctnovdec') + 2) div 3"
-    else:
-        month = part("m", "'1'")
-    day = f"concat_ws('-', {year}, {month}, {part('d', '')})"
-    return f"CASE WHEN {matched} THEN TRY_CAST({day} AS DATE) IS NOT NULL ELSE false END"
+    # Rewrite the text as year-month-day in one step; other text becomes "--".
+    year = f"${groups['Y']}" if "Y" in groups else f"20${groups['y']}" if "y" in groups else "1900"
+    named = groups.get("b") or groups.get("B")
+    month = f"${named}" if named else f"${groups['m']}" if "m" in groups else "1"
+    day = f"regexp_replace({text}, {quote(regex + '|^(?s:.*)' + END)}, '{year}-{month}-${groups['d']}')"
+    if named:
+        for number, name in enumerate(MONTHS, 1):
+            day = f"regexp_replace({day}, '(?i)-{name}[a-z]*-', '-{number}-')"
+    return f"TRY_CAST({day} AS DATE) IS NOT NULL"
 
 
 def is_parseable(text: str) -> str:
@@ -103,4 +99,4 @@ def _regex(pattern: str) -> tuple[str, dict[str, int]]:
         else:
             pieces.append("%")
         i += 2
-    return "".join(pieces) + r"\z", groups
+    return "".join(pieces) + END, groups

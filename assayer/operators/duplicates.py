@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.sqltext import ident
+
 # A value held by this many rows is spread over SALTS tasks when its rows are
 # fetched.  At most HOT_VALUES values are treated so: each other value holds
 # less than 1/HOT_VALUES of the rows.
@@ -39,7 +41,8 @@ def duplicate_rows(
     are frequent is a list of at most HOT_VALUES hashes and can be broadcast;
     a hash collision only salts one value more, the join compares the values.
     """
-    rows = df.filter(~missing).select(value.alias("value"), *keys)
+    quoted = [F.col(ident(k)) for k in keys]
+    rows = df.filter(~missing).select(value.alias("value"), *quoted)
     repeated = rows.groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     hot = (
         repeated.filter(F.col("n") >= hot_rows)
@@ -54,8 +57,8 @@ def duplicate_rows(
             F.broadcast(hot.withColumn("is_hot", F.lit(True))), "hash", "left"
         )
 
-    spread = F.pmod(F.xxhash64(*keys) if keys else F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    spread = F.pmod(F.xxhash64(*quoted) if keys else F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
     left = with_heat(rows).withColumn("salt", F.when(F.col("is_hot"), spread).otherwise(0))
     copies = F.when(F.col("is_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     right = with_heat(repeated).select("value", F.explode(copies).alias("salt"))
-    return left.join(right, ["value", "salt"], "left_semi").select("value", *keys)
+    return left.join(right, ["value", "salt"], "left_semi").select("value", *quoted)

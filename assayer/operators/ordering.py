@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.sqltext import ident
+
 BUCKETS_PER_PARTITION = 4
 MAX_BUCKETS = 10_000
 
@@ -24,10 +26,10 @@ def falling_rows(
     """
     spark = df.sparkSession
     rows = df.filter(~missing).select(
-        _place(df.schema[order_by].dataType, F.col(order_by)).alias("place"),
-        F.col(order_by).alias("ordinal"),
+        _place(df.schema[order_by].dataType, F.col(ident(order_by))).alias("place"),
+        F.col(ident(order_by)).alias("ordinal"),
         value.alias("low"),
-        *[F.col(k).alias(f"key_{i}") for i, k in enumerate(keys)],
+        *[F.col(ident(k)).alias(f"key_{i}") for i, k in enumerate(keys)],
     )
     key_columns = [f"key_{i}" for i in range(len(keys))]
 

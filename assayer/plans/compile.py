@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.conditions import as_text
 from ..functions.sqltext import Field, Predicate, as_column, both, fails
 from ..operators.registry import (
     COMMON_ARGUMENTS,
@@ -86,12 +87,12 @@ class Check:
         return None
 
     @property
-    def value(self) -> Column:
-        """The judged value as text; for several columns, all of them."""
+    def value(self) -> str:
+        """The judged value as text, in SQL; for several columns, all of them."""
         if len(self.fields) == 1:
-            return self.fields[0].col.cast("string")
-        shown = [F.coalesce(f.col.cast("string"), F.lit("null")) for f in self.fields]
-        return F.concat_ws(", ", *shown)
+            return as_text(self.fields[0])
+        shown = [f"coalesce({as_text(f)}, 'null')" for f in self.fields]
+        return f"concat_ws(', ', {', '.join(shown)})"
 
 
 def compile_suite(

@@ -10,22 +10,36 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Mapping
+import math
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import cached_property, reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.sqltext import Predicate, as_column, both, ident
+from ..functions.conditions import as_date, as_double
+from ..functions.sqltext import Predicate, as_column, both, ident, literal
 from ..operators.duplicates import duplicate_counts, duplicate_rows
 from ..operators.ordering import falling_rows
-from ..operators.registry import FRACTION, PERCENT_ROUNDED, Rule
+from ..operators.registry import FRACTION, LIST, PERCENT_ROUNDED, Rule
 from .compile import Check, compile_suite
 from .suite import Suite
 
+Rewrite = Callable[[Predicate | None], Predicate | None]
+
 LEVELS = ("BASIC", "SUMMARY", "COMPLETE")
+
+FUSED_SCOPES = ("column", "pair", "multi", "aggregate", "order")
+
+# Rules per pass over the table.  Much above this, the code generated for a pass
+# outgrows what the JVM compiles, and a second pass is far cheaper.
+RULES_PER_PASS = 40
+
+# Helpers between two steps of the plan of offending rows.
+FLAGS, PLACE, SHOWN = "__flags", "__position", "__value"
+GOOD = -1
+
 PARTIAL_ROWS = 20
 
 COUNT_TYPES = {
@@ -143,7 +157,9 @@ class Validation:
     @cached_property
     def counts(self) -> DataFrame:
         """One row per rule: ``position`` and the columns of COUNT_TYPES."""
-        parts = [self._fused_counts()]
+        parts = [self._fused_counts(checks) for checks in _passes(self._of_scope(*FUSED_SCOPES))]
+        if self._of_scope("schema", "failed") or not parts:
+            parts.append(self._settled_counts())
         for check in self._of_scope("duplicates"):
             field = check.fields[0]
             counted = duplicate_counts(self._within(check), field.col, F.expr(field.missing))
@@ -177,54 +193,84 @@ class Validation:
             return self.df.filter(conditions.pop())
         return self.df
 
-    def _fused_counts(self) -> DataFrame:
-        fused = self._of_scope("column", "pair", "multi", "aggregate", "order")
-        settled = self._of_scope("schema", "failed")
-        aggregates: dict[str, tuple[str, Column]] = {}
+    def _with_parsed(self, base: DataFrame, checks: list[Check]) -> tuple[DataFrame, Rewrite]:
+        """Add the dates and numbers that several predicates parse from the same text.
 
-        def count(predicate: Predicate | None) -> Column:
-            text = predicate if isinstance(predicate, str) else f"{len(aggregates)}" if predicate is not None else ""
-            if text not in aggregates:
-                total = F.count(F.lit(1)) if predicate is None else F.count_if(as_column(predicate))
-                aggregates[text] = (f"n{len(aggregates)}", total)
-            return F.col(aggregates[text][0])
+        Spark would parse them again in each rule: once a comparison has moved
+        into the branches of the parsing CASE, the rules have little in common.
+        """
+        predicates = [p for c in checks if c.judges_rows for p in (c.counted, c.listed) if isinstance(p, str)]
+        parsed: dict[str, str] = {}
+        for field in {f for c in checks for f in c.fields if f.is_text}:
+            for text in (as_date(field), as_double(field)):
+                if sum(p.count(text) for p in predicates) > 1:
+                    parsed[text] = f"__parsed_{len(parsed)}"
+
+        def rewrite(predicate: Predicate | None) -> Predicate | None:
+            if isinstance(predicate, str):
+                for text, name in parsed.items():
+                    predicate = predicate.replace(text, name)
+            return predicate
+
+        if parsed:
+            base = base.withColumns({name: F.expr(text) for text, name in parsed.items()})
+        return base, rewrite
+
+    def _settled_counts(self) -> DataFrame:
+        """Rules decided by the schema alone, or not at all."""
+        rows = []
+        for check in self._of_scope("schema", "failed"):
+            passed, seen = check.decided or (False, None)
+            rows.append(_count_struct(check, {"passed": literal(passed), "observed_value": literal(seen)}))
+        if not rows:
+            columns = [f"CAST(NULL AS {kind}) AS {name}" for name, kind in COUNT_TYPES.items()]
+            return self.spark.range(0).selectExpr("CAST(id AS INT) AS position", *columns)
+        return self.spark.range(1).select(F.expr(f"inline(array({', '.join(rows)}))"))
+
+    def _fused_counts(self, fused: list[Check]) -> DataFrame:
+        """All given rules by one aggregation; equal counts are made once."""
+        base, rewrite = self._with_parsed(self._base(fused), fused)
+        names: dict[str, str] = {}
+        aggregates: list[Column] = []
+
+        def made(total: Column, key: str) -> str:
+            """The name of an aggregate; equal ones are made once."""
+            if key not in names:
+                names[key] = f"n{len(names)}"
+                aggregates.append(total.alias(names[key]))
+            return names[key]
+
+        def count(predicate: Predicate | None, check: Check) -> str:
+            predicate = rewrite(predicate)
+            if predicate is None:
+                return made(F.count(F.lit(1)), "count(1)")
+            if isinstance(predicate, str):
+                return made(F.expr(f"count_if({predicate})"), predicate)
+            return made(F.count_if(predicate), f"rule at {check.position}")
 
         rows = []
         for check in fused:
-            values: dict[str, Column] = {}
+            values: dict[str, str] = {}
             if check.scope == "aggregate":
-                name = f"v{len(aggregates)}"
                 text = check.kind.condition(check.fields[0] if check.fields else None, check.domain)
-                aggregates[name] = (name, F.expr(text))
-                seen = F.col(name).cast("double")
+                seen = made(F.expr(text), text)
                 low, high = check.arguments["min_value"], check.arguments["max_value"]
-                inside = seen.isNotNull()
-                inside = inside & (seen >= F.lit(low)) if low is not None else inside
-                inside = inside & (seen <= F.lit(high)) if high is not None else inside
-                values = {"observed_value": seen, "passed": inside}
+                bounds = [f"{seen} IS NOT NULL"]
+                bounds += [f"{seen} >= {literal(low)}"] if low is not None else []
+                bounds += [f"{seen} <= {literal(high)}"] if high is not None else []
+                values = {"observed_value": seen, "passed": " AND ".join(bounds)}
             else:
-                values["element_count"] = count(check.domain)
+                values["element_count"] = count(check.domain, check)
                 if check.missing is not None:
-                    values["missing_count"] = count(both(check.domain, check.missing))
+                    values["missing_count"] = count(both(check.domain, check.missing), check)
                 if check.judges_rows:
-                    values["unexpected_count"] = count(check.counted)
-                    values["listed_count"] = count(check.listed)
+                    bad = count(check.counted, check)
+                    values["unexpected_count"] = bad
+                    values["listed_count"] = bad if check.kind.nulls != LIST else count(check.listed, check)
                     if check.kind.observe_ratio:
-                        share = 1 - values["unexpected_count"] / F.nullif(values["element_count"], F.lit(0))
-                        values["observed_value"] = share
+                        values["observed_value"] = f"1 - {bad} / nullif({values['element_count']}, 0)"
             rows.append(_count_struct(check, values))
-        for check in settled:
-            passed, seen = check.decided or (False, None)
-            rows.append(_count_struct(check, {"passed": F.lit(passed), "observed_value": F.lit(seen)}))
-
-        if aggregates:
-            one = self._base(fused).agg(*[total.alias(name) for name, total in aggregates.values()])
-        else:
-            one = self.spark.range(1)
-        if not rows:
-            columns = [F.lit(0).alias("position"), *[F.lit(None).cast(t).alias(c) for c, t in COUNT_TYPES.items()]]
-            return one.select(*columns).filter("false")
-        return one.select(F.inline(F.array(*rows)))
+        return base.agg(*aggregates).select(F.expr(f"inline(array({', '.join(rows)}))"))
 
     # -- graded results ----------------------------------------------------
 
@@ -337,22 +383,9 @@ class Validation:
         """``position``, ``value`` and the keys of every listed row."""
         quoted = [F.col(ident(k)).alias(k) for k in self.keys]
         parts = []
-        fused = [c for c in self.checks if c.judges_rows]
-        if len(fused) == 1:
-            check = fused[0]
-            hit = self.df.filter(as_column(check.listed))
-            parts.append(hit.select(F.lit(check.position).alias("position"), check.value.alias("value"), *quoted))
-        elif fused:
-            # Most rows are good: drop them inside the generated code first.
-            hit = self._base(fused).filter(reduce(or_, [as_column(c.listed) for c in fused]))
-            entries = [
-                F.when(
-                    as_column(c.listed),
-                    F.struct(F.lit(c.position).alias("position"), c.value.alias("value")),
-                )
-                for c in fused
-            ]
-            parts.append(hit.select(F.inline(F.array_compact(F.array(*entries))), *quoted))
+        for fused in _passes(self._of_scope("column", "pair", "multi")):
+            hit = self._fused_rows(fused)
+            parts.append(hit.select(F.col(PLACE).alias("position"), F.col(SHOWN).alias("value"), *quoted))
         for check in self._of_scope("duplicates"):
             field = check.fields[0]
             hit = duplicate_rows(self._within(check), field.col, F.expr(field.missing), self.keys)
@@ -364,6 +397,23 @@ class Validation:
             return empty.filter("false")
         return reduce(DataFrame.unionByName, parts)
 
+    def _fused_rows(self, fused: list[Check]) -> DataFrame:
+        """The table's columns with a rule's position and shown value, once per rule that lists the row."""
+        base = self._base(fused)
+        if len(fused) == 1:
+            # A plain filter, which can reach the scan.
+            check = fused[0]
+            hit = base.filter(as_column(check.listed))
+            return hit.select("*", F.lit(check.position).alias(PLACE), F.expr(check.value).alias(SHOWN))
+        # One projection works out the flags of all rules, so that Spark shares
+        # what they have in common.  Dropping the good ones before exploding keeps
+        # rows few, and keeps the optimizer from repeating the flags in a filter.
+        base, rewrite = self._with_parsed(base, fused)
+        flags = [_flag(rewrite(c.listed), c.position) for c in fused]
+        hit = base.withColumn(FLAGS, F.array(*flags)).select("*", F.expr(f"explode(array_remove({FLAGS}, {GOOD}))").alias(PLACE))
+        shown = " ".join(f"WHEN {c.position} THEN {c.value}" for c in fused)
+        return hit.withColumn(SHOWN, F.expr(f"CASE {PLACE} {shown} END"))
+
     @cached_property
     def violations(self) -> DataFrame:
         """One row per offending value, with the typed key columns."""
@@ -464,6 +514,18 @@ def fill_for_display(violations: DataFrame, filler: str = "nan") -> DataFrame:
     return violations.fillna(filler)
 
 
+def _passes(checks: list[Check]) -> list[list[Check]]:
+    """Split many rules into passes, keeping those on the same columns together.
+
+    Each pass then reads few columns that another one reads too.
+    """
+    if len(checks) > RULES_PER_PASS:
+        checks = sorted(checks, key=lambda c: (c.rule.columns, c.position))
+    passes = math.ceil(len(checks) / RULES_PER_PASS)
+    size = math.ceil(len(checks) / passes) if passes else 1
+    return [checks[i : i + size] for i in range(0, len(checks), size)]
+
+
 def _texts(values: Mapping) -> dict[str, str | None]:
     def text(value):
         if value is None or isinstance(value, str):
@@ -478,9 +540,15 @@ def _table_arguments(check: Check) -> dict:
     return {**given, **check.arguments}
 
 
-def _count_struct(check: Check, values: dict[str, Column]) -> Column:
-    columns = [values.get(c, F.lit(None)).cast(t).alias(c) for c, t in COUNT_TYPES.items()]
-    return F.struct(F.lit(check.position).alias("position"), *columns)
+def _flag(predicate: Predicate, position: int) -> Column:
+    if isinstance(predicate, str):
+        return F.expr(f"CASE WHEN {predicate} THEN {position} ELSE {GOOD} END")
+    return F.when(predicate, position).otherwise(GOOD)
+
+
+def _count_struct(check: Check, values: dict[str, str]) -> str:
+    columns = [f"'{name}', CAST({values.get(name, 'NULL')} AS {kind})" for name, kind in COUNT_TYPES.items()]
+    return f"named_struct('position', {check.position}, {', '.join(columns)})"
 
 
 def _count_row(df: DataFrame, check: Check, **extra: Column) -> DataFrame:
