@@ -42,13 +42,17 @@ class Field:
     def is_number(self) -> bool:
         return isinstance(self.dtype, T.NumericType)
 
+    @property
+    def is_float(self) -> bool:
+        return isinstance(self.dtype, (T.DoubleType, T.FloatType))
+
     @property
     def is_time(self) -> bool:
         return isinstance(self.dtype, (T.DateType, T.TimestampType, T.TimestampNTZType))
 
     @property
     def missing(self) -> str:
-        if isinstance(self.dtype, (T.DoubleType, T.FloatType)):
+        if self.is_float:
             return f"({self} IS NULL OR isnan({self}))"
         return f"{self} IS NULL"
 

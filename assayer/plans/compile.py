@@ -19,6 +19,7 @@ from ..operators.registry import (
     MULTI_MODES,
     PAIR_MODES,
     RULES,
+    SKIP,
     Rule,
     RuleType,
 )
@@ -136,7 +137,8 @@ def _compile(schema: T.StructType, position: int, rule: Rule, now: dt.datetime)
     check = replace(check, fields=fields)
     if kind.scope == "column":
         missing = None if kind.nulls == JUDGE else fields[0].missing
-        return replace(check, missing=missing, condition=kind.condition(fields[0], **arguments))
+        condition = kind.condition(fields[0], **arguments)
+        return replace(check, missing=missing, condition=condition if kind.nulls == SKIP else _given(fields, condition))
     if kind.scope in ("duplicates", "order"):
         if kind.scope == "order":
             if not kwargs.get("order_by"):
@@ -145,13 +147,18 @@ def _compile(schema: T.StructType, position: int, rule: Rule, now: dt.datetime)
         return replace(check, missing=fields[0].missing)
     if kind.scope == "pair":
         domain = both(row_condition, _kept(fields, kwargs.get("ignore_row_if", kind.ignore_row_if), PAIR_MODES))
-        return replace(check, domain=domain, condition=kind.condition(*fields, **arguments))
+        return replace(check, domain=domain, condition=_given(fields, kind.condition(*fields, **arguments)))
     if kind.scope == "multi":
         domain = both(row_condition, _kept(fields, kwargs.get("ignore_row_if", kind.ignore_row_if), MULTI_MODES))
-        return replace(check, domain=domain, condition=kind.condition(list(fields), **arguments))
+        return replace(check, domain=domain, condition=_given(fields, kind.condition(list(fields), **arguments)))
     return check
 
 
+def _given(fields: tuple[Field, ...], condition: Predicate) -> Predicate:
+    """The condition, false where a number is NaN: Spark sorts NaN above all, but it is no value."""
+    return both(*[f"NOT isnan({f})" for f in fields if f.is_float], condition)
+
+
 def _fields(schema: T.StructType, kind: RuleType, kwargs: dict) -> tuple[Field, ...]:
     if kind.scope == "pair":
         return tuple(_field(schema, kwargs[name]) for name in ("column_A", "column_B"))
