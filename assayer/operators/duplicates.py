@@ -44,6 +44,8 @@ def duplicate_rows(
     quoted = [F.col(ident(k)) for k in keys]
     rows = df.filter(~missing).select(value.alias("value"), *quoted)
     repeated = rows.groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if not keys:
+        return _repeat(repeated)
     hot = (
         repeated.filter(F.col("n") >= hot_rows)
         .orderBy(F.desc("n"))
@@ -57,8 +59,19 @@ def duplicate_rows(
             F.broadcast(hot.withColumn("is_hot", F.lit(True))), "hash", "left"
         )
 
-    spread = F.pmod(F.xxhash64(*quoted) if keys else F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    spread = F.pmod(F.xxhash64(*quoted), F.lit(SALTS)).cast("int")
     left = with_heat(rows).withColumn("salt", F.when(F.col("is_hot"), spread).otherwise(0))
     copies = F.when(F.col("is_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     right = with_heat(repeated).select("value", F.explode(copies).alias("salt"))
     return left.join(right, ["value", "salt"], "left_semi").select("value", *quoted)
+
+
+def _repeat(repeated: DataFrame) -> DataFrame:
+    """Each value as often as it occurs; without keys the rows need not be fetched.
+
+    A frequent value is written out by many tasks, HOT_ROWS rows each.
+    """
+    pieces = repeated.withColumn("piece", F.explode(F.expr(f"sequence(0L, (n - 1) div {HOT_ROWS})")))
+    spread = pieces.repartition("value", "piece")
+    size = f"least({HOT_ROWS}L, n - piece * {HOT_ROWS})"
+    return spread.select("value", F.explode(F.expr(f"sequence(1L, {size})")).alias("i")).select("value")

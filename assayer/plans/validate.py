@@ -84,6 +84,7 @@ RESULT_COLUMNS = [
     "run_time",
 ]
 
+WORKING_COLUMNS = ["about", "clean", "hash", "is_hot", "pass", "position", "rank", "salt"]
 VIOLATION_COLUMNS = ["run_id", "rule_id", "rule", "expectation_type", "column", "value"]
 
 
@@ -106,7 +107,7 @@ def validate(
     """
     options = dict(result_format) if isinstance(result_format, Mapping) else {"result_format": result_format}
     keys = list(keys or options.get("unexpected_index_column_names") or [])
-    reserved = {"position", "passed", "hash", "salt", "is_hot", *VIOLATION_COLUMNS} & set(keys)
+    reserved = {*VIOLATION_COLUMNS, *WORKING_COLUMNS} & set(keys)
     if reserved:
         raise ValueError(f"key columns {sorted(reserved)} clash with result columns; rename them first")
     if not isinstance(suite, Suite):
@@ -410,7 +411,8 @@ class Validation:
         # rows few, and keeps the optimizer from repeating the flags in a filter.
         base, rewrite = self._with_parsed(base, fused)
         flags = [_flag(rewrite(c.listed), c.position) for c in fused]
-        hit = base.withColumn(FLAGS, F.array(*flags)).select("*", F.expr(f"explode(array_remove({FLAGS}, {GOOD}))").alias(PLACE))
+        bad = F.expr(f"explode(array_remove({FLAGS}, {GOOD}))").alias(PLACE)
+        hit = base.withColumn(FLAGS, F.array(*flags)).select("*", bad)
         shown = " ".join(f"WHEN {c.position} THEN {c.value}" for c in fused)
         return hit.withColumn(SHOWN, F.expr(f"CASE {PLACE} {shown} END"))
 
@@ -485,7 +487,7 @@ class Validation:
         hit = self._listed.join(F.broadcast(flags.drop("clean")), "position")
         clean = flags.filter("clean").drop("clean")
         columns = ["position", "rule", "expectation_type", "column", "value", *self.keys, "pass"]
-        report = hit.select(*map(ident, columns)).unionByName(clean, allowMissingColumns=True).select(*map(ident, columns))
+        report = hit.unionByName(clean, allowMissingColumns=True).select(*map(ident, columns))
         if ordered:
             report = report.orderBy("rule", *[F.col(ident(k)).asc_nulls_last() for k in self.keys], "position")
         return report.drop("position")

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from assayer.operators import duplicates
 from assayer.operators.duplicates import SALTS, duplicate_counts, duplicate_rows
 from assayer.operators.ordering import falling_rows
 
@@ -24,6 +25,14 @@ def test_repeated_values(spark, hot_rows):
     assert tuple(counts) == (3000, values.count(None), len(wanted))
 
 
+def test_repeated_values_without_keys(spark, monkeypatch):
+    monkeypatch.setattr(duplicates, "HOT_ROWS", 10)
+    values = [1] * 35 + [2] * 10 + [3] * 11 + [4, None, None]
+    df = spark.createDataFrame([(v,) for v in values], "v int")
+    rows = duplicate_rows(df, F.col("v"), F.col("v").isNull(), []).collect()
+    assert sorted(r.value for r in rows) == [1] * 35 + [2] * 10 + [3] * 11
+
+
 def test_frequent_value_is_spread(spark):
     """No salt holds much more of the frequent value than another."""
     df = spark.range(20000).select(F.col("id").alias("i"))
