@@ -20,6 +20,10 @@ from pyspark.sql import types as T
 Predicate = Union[str, Column]
 
 
+class Sure(str):
+    """SQL that is true or false, never unknown, wherever its columns hold a value."""
+
+
 @dataclass(frozen=True)
 class Field:
     """A column of the checked table; prints as its quoted SQL name."""
@@ -106,8 +110,14 @@ def both(*predicates: Predicate | None) -> Predicate | None:
     return result
 
 
-def fails(predicate: Predicate) -> Predicate:
-    """True where the predicate is false or unknown."""
+def fails(predicate: Predicate, given: bool = False) -> Predicate:
+    """True where the predicate is false or unknown.
+
+    Where its columns are ``given`` a sure predicate is just negated: Spark can
+    hand such a filter to the files, which then skip what cannot match.
+    """
+    if given and isinstance(predicate, Sure):
+        return f"NOT ({predicate})"
     if isinstance(predicate, str):
         return f"NOT coalesce({predicate}, false)"
     return ~F.coalesce(predicate, F.lit(False))

@@ -13,7 +13,7 @@ from ..functions.conditions import (
     member,
     today_in_hong_kong,
 )
-from ..functions.sqltext import Field, quote
+from ..functions.sqltext import Field, Sure, quote
 from ..functions.timeformats import is_parseable, matches_strftime
 from .registry import FRACTION, JUDGE, LIST, PERCENT_ROUNDED, RULES, RuleType, column_rule, register
 
@@ -30,12 +30,14 @@ def between(field: Field, min_value, max_value):
     given = [b for b in (min_value, max_value) if b is not None]
     value, bounds = comparable(field, given)
     signs = [sign for sign, b in ((">=", min_value), ("<=", max_value)) if b is not None]
-    return " AND ".join(compare(value, sign, bound) for sign, bound in zip(signs, bounds))
+    condition = " AND ".join(compare(value, sign, bound) for sign, bound in zip(signs, bounds))
+    return condition if "TRY_CAST" in value else Sure(condition)
 
 
 @column_rule("expect_column_values_to_be_in_set")
 def in_set(field: Field, value_set):
-    return member(field, value_set)
+    condition = member(field, value_set)
+    return condition if "TRY_CAST" in condition else Sure(condition)
 
 
 @column_rule("expect_column_values_to_not_be_in_set")
@@ -45,7 +47,7 @@ def not_in_set(field: Field, value_set):
 
 @column_rule("expect_column_values_to_match_regex")
 def match_regex(field: Field, regex):
-    return f"{as_text(field)} RLIKE {quote(regex)}"
+    return Sure(f"{as_text(field)} RLIKE {quote(regex)}")
 
 
 @column_rule("expect_column_values_to_match_strftime_format")

@@ -59,7 +59,9 @@ def duplicate_rows(
             F.broadcast(hot.withColumn("is_hot", F.lit(True))), "hash", "left"
         )
 
-    spread = F.pmod(F.xxhash64(*quoted), F.lit(SALTS)).cast("int")
+    # The task's number spreads rows whose keys repeat too; unlike a random
+    # number it stays the same when a lost task runs again.
+    spread = F.pmod(F.xxhash64(*quoted, F.spark_partition_id()), F.lit(SALTS)).cast("int")
     left = with_heat(rows).withColumn("salt", F.when(F.col("is_hot"), spread).otherwise(0))
     copies = F.when(F.col("is_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     right = with_heat(repeated).select("value", F.explode(copies).alias("salt"))

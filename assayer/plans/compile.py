@@ -71,7 +71,7 @@ class Check:
     def counted(self) -> Predicate:
         """Rows that count as unexpected."""
         judged = both(self.domain, f"NOT ({self.missing})" if self.missing is not None else None)
-        return both(judged, fails(self.condition))
+        return both(judged, fails(self.condition, given=self.missing is not None))
 
     @property
     def listed(self) -> Predicate:

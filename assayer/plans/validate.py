@@ -489,8 +489,10 @@ class Validation:
         columns = ["position", "rule", "expectation_type", "column", "value", *self.keys, "pass"]
         report = hit.unionByName(clean, allowMissingColumns=True).select(*map(ident, columns))
         if ordered:
-            report = report.orderBy("rule", *[F.col(ident(k)).asc_nulls_last() for k in self.keys], "position")
-        return report.drop("position")
+            # The task's number last, so that rows of one rule and key need not stay in one range.
+            by_key = [F.col(ident(k)).asc_nulls_last() for k in self.keys]
+            report = report.withColumn("rank", F.spark_partition_id()).orderBy("rule", *by_key, "position", "rank")
+        return report.drop("position", "rank")
 
 
 def suite_statistics(results: DataFrame) -> DataFrame:

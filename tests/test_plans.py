@@ -78,6 +78,15 @@ def test_not_null_violations_are_pushed_down(lines):
     assert "IsNull(l_partkey)" in plan(validate(lines, [rule], ["l_orderkey"]).violations)
 
 
+def test_range_and_set_violations_are_pushed_down(lines):
+    outcome = validate(lines, [between("l_linenumber")], ["l_orderkey"], "COMPLETE")
+    pushed = "PushedFilters: [IsNotNull(l_linenumber), Or(LessThan(l_linenumber,1),GreaterThan(l_linenumber,40))]"
+    assert pushed in plan(outcome.violations)
+    assert pushed in plan(lines.filter(outcome.checks[0].query))
+    rule = Rule.of("expect_column_values_to_be_in_set", column="l_linenumber", value_set=[1, 2])
+    assert "Not(In(l_linenumber, [1,2]))" in plan(validate(lines, [rule], ["l_orderkey"]).violations)
+
+
 def test_partial_lists_are_cut_before_the_shuffle(lines):
     text = tree(validate(lines, ROW_RULES, keys=["l_orderkey"]).results)
     assert text.count("WindowGroupLimit") == 2
