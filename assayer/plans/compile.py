@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import traceback
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
@@ -44,6 +45,7 @@ class Check:
     arguments: dict = field(default_factory=dict)
     decided: tuple[bool, float | None] | None = None
     error: str | None = None
+    trace: str | None = None
 
     @property
     def scope(self) -> str:
@@ -113,7 +115,8 @@ def compile_suite(
 
 def _failed(position: int, rule: Rule, error: Exception) -> Check:
     message = f"{type(error).__name__}: {error}".splitlines()[0]
-    return Check(position, rule, RULES.get(rule.expectation_type), error=message)
+    trace = "".join(traceback.format_exception(error))
+    return Check(position, rule, RULES.get(rule.expectation_type), error=message, trace=trace)
 
 
 def _compile(schema: T.StructType, position: int, rule: Rule, now: dt.datetime) -> Check:

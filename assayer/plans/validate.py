@@ -54,7 +54,7 @@ COUNT_TYPES = {
 ABOUT_SCHEMA = (
     "array<struct<rule_id:string,rule:string,expectation_type:string,column:string,column_list:array<string>,"
     "kwargs:map<string,string>,meta:map<string,string>,mostly:double,percent:string,level:int,"
-    "unexpected_index_query:string,exception_message:string>>"
+    "unexpected_index_query:string,exception_message:string,exception_traceback:string>>"
 )
 
 RESULT_COLUMNS = [
@@ -81,6 +81,7 @@ RESULT_COLUMNS = [
     "unexpected_index_query",
     "raised_exception",
     "exception_message",
+    "exception_traceback",
     "run_time",
 ]
 
@@ -105,6 +106,8 @@ def validate(
     ``return_unexpected_index_query`` and ``partial_unexpected_count``.
     With ``strict`` a rule that cannot be compiled raises instead of failing.
     """
+    if not isinstance(df, DataFrame):
+        raise TypeError(f"only Spark DataFrames can be validated, not {type(df).__name__}")
     options = dict(result_format) if isinstance(result_format, Mapping) else {"result_format": result_format}
     keys = list(keys or options.get("unexpected_index_column_names") or [])
     reserved = {*VIOLATION_COLUMNS, *WORKING_COLUMNS} & set(keys)
@@ -295,6 +298,7 @@ class Validation:
                     "level": level,
                     "unexpected_index_query": check.query if self.with_query else None,
                     "exception_message": check.error,
+                    "exception_traceback": check.trace,
                 }
             )
         listing = F.from_json(F.lit(json.dumps(items, ensure_ascii=False)), ABOUT_SCHEMA)
@@ -356,6 +360,7 @@ class Validation:
             F.when(F.col("level") >= 2, F.col("unexpected_index_query")).alias("unexpected_index_query"),
             F.col("exception_message").isNotNull().alias("raised_exception"),
             "exception_message",
+            "exception_traceback",
             F.lit(self.run_time).alias("run_time"),
         )
 

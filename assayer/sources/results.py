@@ -11,7 +11,7 @@ RESULTS_SCHEMA = (
     "unexpected_percent_total double, unexpected_percent_nonmissing double, observed_value double, "
     "partial_unexpected_list array<string>, partial_unexpected_index_list array<map<string,string>>, "
     "partial_unexpected_counts array<struct<value:string,count:bigint>>, unexpected_index_query string, "
-    "raised_exception boolean, exception_message string, run_time timestamp, run_id string"
+    "raised_exception boolean, exception_message string, exception_traceback string, run_time timestamp, run_id string"
 )
 
 

@@ -15,8 +15,8 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from assayer import run_validation  # noqa: E402
-from assayer.sources import ObjectStore, build_session, read_csv, write_results  # noqa: E402
+from assayer import run_validation, suite_statistics  # noqa: E402
+from assayer.sources import ObjectStore, build_session, read_csv, read_results, write_results  # noqa: E402
 
 
 def arguments(given: list[str] | None = None) -> argparse.Namespace:
@@ -60,7 +60,9 @@ def main(given: list[str] | None = None) -> bool:
     )
     if args.violations:
         outcome.violations.write.mode("append").partitionBy("run_id").parquet(args.violations)
-    return bool(outcome.stats.first().success)
+    # The stored results are a few rows; asking the outcome would scan the input again.
+    stored = read_results(spark, args.output, outcome.run_id)
+    return bool(suite_statistics(stored).first().success)
 
 
 if __name__ == "__main__":

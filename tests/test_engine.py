@@ -155,7 +155,7 @@ def test_bad_rules_fail_alone(df):
     rows = validate(df, rules, result_format="COMPLETE").results.orderBy("position").collect()
     assert [r.success for r in rows] == [True] + [False] * 7
     assert [r.raised_exception for r in rows] == [False] + [True] * 7
-    assert all(r.exception_message for r in rows[1:])
+    assert all(r.exception_message and "Traceback" in r.exception_traceback for r in rows[1:])
     with pytest.raises(KeyError):
         validate(df, rules, strict=True)
 
@@ -261,6 +261,8 @@ def test_job(spark, df):
     )
     assert (seen[0].run_id, seen[0].element_count, seen[0].unexpected_count) == ("r1", 4, 1)
     assert outcome.stats.collect()[0].success is False
+    with pytest.raises(TypeError):
+        validate([1], [])
     with pytest.raises(TypeError):
         run_validation(spark, lambda session: [1], [])
 
