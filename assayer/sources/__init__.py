@@ -3,7 +3,7 @@
 from .files import read_csv, read_csv_text, write_csv
 from .objects import list_objects
 from .results import read_results, write_results
-from .session import CatalogSettings, ObjectStore, build_session, scratch_folder
+from .session import CatalogSettings, ObjectStore, build_session, remove_folder, scratch_folder, shared_folder
 from .versioned import VersionedTable
 
 __all__ = [
@@ -15,7 +15,9 @@ __all__ = [
     "read_csv",
     "read_csv_text",
     "read_results",
+    "remove_folder",
     "scratch_folder",
+    "shared_folder",
     "write_csv",
     "write_results",
 ]

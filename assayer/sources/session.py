@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from dataclasses import dataclass, field
 
@@ -78,12 +77,27 @@ def build_session(
     return builder.getOrCreate()
 
 
-def scratch_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder that every executor can reach.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate data that driver and executors share.
 
-    It lies in the folder the cluster names in ``spark.checkpoint.dir``; only
-    where none is named, as in local tests, in a temporary folder.
+    The cluster names it in ``spark.checkpoint.dir``.  Where it names none, a
+    session on one machine takes a folder in its warehouse; on a cluster that
+    is an error, since executors don't see each other's disks.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="assayer-")
-    return f"{base}/{purpose}-{uuid.uuid4().hex}"
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not spark.conf.get("spark.master", "local").startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
+
+
+def scratch_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder below the shared one; whoever asks for it removes it after use."""
+    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Hadoop, wherever it lies."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

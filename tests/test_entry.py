@@ -18,8 +18,13 @@ def database():
     return connect(TABLES)
 
 
+# The queries of assayer.llm have tests of their own.
+OWN = sorted(entry.rules.QUERIES | entry.suites.QUERIES)
+
+
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(OWN) <= set(entry.oracle_sql())
 
 
 def test_flagship(spark):
@@ -28,6 +33,6 @@ def test_flagship(spark):
     assert len(rows) == 5 and {"rule_id", "success", "unexpected_count"} <= set(df.columns)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query(spark, database, name):
     assert difference(spark, database, name, entry.queries()[name], entry.oracle_sql()[name], TABLES) is None
