@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, simhash
+from . import decontaminate, mixing, sharding, simhash
 from .shared import table
 
 QUERIES: dict = {}
@@ -28,6 +28,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(documents, table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+@query("op2_sharding")
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query("op5_simhash")
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.groups(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -36,3 +41,16 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         simhash.hexadecimal(F.col("fp")).alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+@query("op8_mixing", mixing.SQL)
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
+    return found.select(
+        "doc_id",
+        "size",
+        "source_size",
+        F.round("target", 3).alias("target"),
+        "taken",
+        F.round("position", 9).alias("position"),
+    )
