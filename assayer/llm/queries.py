@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, sharding, simhash
+from . import decontaminate, mixing, quality, sharding, simhash
 from .shared import table
 
 QUERIES: dict = {}
@@ -54,3 +54,9 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "taken",
         F.round("position", 9).alias("position"),
     )
+
+
+@query("op9_quality")
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents", "doc_id", "text")
+    return quality.report(documents, table(spark, sf_dir, "labels", "doc_id", "quality"))
