@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, quality, sharding, simhash
+from . import decontaminate, mixing, quality, sharding, simhash, warc
 from .shared import table
 
 QUERIES: dict = {}
@@ -33,6 +33,12 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@query("op3_warc")
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.archive(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("op5_simhash")
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.groups(table(spark, sf_dir, "documents", "doc_id", "text"))
