@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, quality, sharding, simhash, warc
+from . import covertree, decontaminate, mixing, quality, sharding, simhash, warc
 from .shared import table
 
 QUERIES: dict = {}
@@ -49,6 +49,11 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_covertree")
+def op7_covertree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.near_copies(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 @query("op8_mixing", mixing.SQL)
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.mix(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
