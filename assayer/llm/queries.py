@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covertree, decontaminate, mixing, quality, sharding, simhash, warc
+from . import covertree, decontaminate, mixing, personal, quality, sharding, simhash, warc
 from .shared import table
 
 QUERIES: dict = {}
@@ -71,3 +71,8 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents", "doc_id", "text")
     return quality.report(documents, table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
+@query("op10_personal")
+def op10_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.find(table(spark, sf_dir, "documents", "doc_id", "text"))
