@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covertree, decontaminate, mixing, personal, quality, sharding, simhash, warc
+from . import covertree, decontaminate, licenses, mixing, personal, quality, sharding, simhash, warc, wrappers
 from .shared import table
 
 QUERIES: dict = {}
@@ -39,6 +39,11 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query("op4_wrappers")
+def op4_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 @query("op5_simhash")
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.groups(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -49,6 +54,11 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_licenses", licenses.sql())
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query("op7_covertree")
 def op7_covertree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.near_copies(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
