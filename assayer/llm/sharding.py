@@ -46,7 +46,7 @@ def _start(rows: DataFrame, shards: int) -> DataFrame:
 
 def _votes(state: DataFrame, closed: list[int], shards: int) -> DataFrame:
     """(group, goal): the shard, among the open ones, that holds most of the group; ties go by the group's own order."""
-    counts = state.filter("group is not null").groupBy("group", "shard").agg(F.count(F.lit(1)).alias("n"))
+    counts = state.groupBy("group", "shard").agg(F.count(F.lit(1)).alias("n"))
     if closed:
         counts = counts.filter(~F.col("shard").isin(closed))
     # Groups spread their ties over all shards.
@@ -81,7 +81,10 @@ def propagate(state: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> D
     closed: list[int] = []
     state = cut(state)
     for _ in range(rounds):
-        voted = state.join(_votes(state, closed, shards), F.col("group") == F.col("voter"), "left").drop("voter")
+        # Free documents don't take part in the join: without a group they would all meet in one task.
+        linked = state.filter("group is not null")
+        voted = linked.join(_votes(linked, closed, shards), F.col("group") == F.col("voter"), "left").drop("voter")
+        voted = voted.unionByName(state.filter("group is null").withColumn("goal", F.lit(None).cast("int")))
         stays = F.col("goal").isNull() | F.col("shard").isin(closed) | (F.col("goal") == F.col("shard"))
         voted = cut(voted.withColumn("goal", F.when(~stays, F.col("goal"))))
         counts = voted.groupBy("shard", "goal", F.col("group").isNull().alias("free")).count().collect()
