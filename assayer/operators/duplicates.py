@@ -6,13 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sqltext import ident
+from .joins import lookup_join
 
-# A value held by this many rows is spread over SALTS tasks when its rows are
-# fetched.  At most HOT_VALUES values are treated so: each other value holds
-# less than 1/HOT_VALUES of the rows.
-HOT_ROWS = 1_000_000
-HOT_VALUES = 1_000
-SALTS = 64
+# Without keys, a value is written out by tasks of so many rows each.
+PIECE_ROWS = 1_000_000
 
 
 def duplicate_counts(df: DataFrame, value: Column, missing: Column) -> DataFrame:
@@ -30,50 +27,28 @@ def duplicate_counts(df: DataFrame, value: Column, missing: Column) -> DataFrame
     )
 
 
-def duplicate_rows(
-    df: DataFrame, value: Column, missing: Column, keys: list[str], hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def duplicate_rows(df: DataFrame, value: Column, missing: Column, keys: list[str]) -> DataFrame:
     """The rows that hold a repeated value, as columns ``value`` and the keys.
 
-    A semi join brings the repeated values back to their rows.  The rows of a
-    frequent value would all meet in one task, so the join also runs over a
-    salt: always 0 for most values, 0 to SALTS-1 for the frequent ones.  Which
-    are frequent is a list of at most HOT_VALUES hashes and can be broadcast;
-    a hash collision only salts one value more, the join compares the values.
+    A semi join brings the repeated values back to their rows.  Each value is
+    one row on its right side, however often it occurs, so where the rows of
+    frequent values make a partition large, adaptive execution splits it and
+    pairs each part with that side; no list of frequent values is needed.
     """
     quoted = [F.col(ident(k)) for k in keys]
     rows = df.filter(~missing).select(value.alias("value"), *quoted)
     repeated = rows.groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     if not keys:
         return _repeat(repeated)
-    hot = (
-        repeated.filter(F.col("n") >= hot_rows)
-        .orderBy(F.desc("n"))
-        .limit(HOT_VALUES)
-        .select(F.xxhash64("value").alias("hash"))
-        .distinct()
-    )
-
-    def with_heat(side: DataFrame) -> DataFrame:
-        return side.withColumn("hash", F.xxhash64("value")).join(
-            F.broadcast(hot.withColumn("is_hot", F.lit(True))), "hash", "left"
-        )
-
-    # The task's number spreads rows whose keys repeat too; unlike a random
-    # number it stays the same when a lost task runs again.
-    spread = F.pmod(F.xxhash64(*quoted, F.spark_partition_id()), F.lit(SALTS)).cast("int")
-    left = with_heat(rows).withColumn("salt", F.when(F.col("is_hot"), spread).otherwise(0))
-    copies = F.when(F.col("is_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    right = with_heat(repeated).select("value", F.explode(copies).alias("salt"))
-    return left.join(right, ["value", "salt"], "left_semi").select("value", *quoted)
+    return lookup_join(rows, repeated.select(F.col("value").alias("repeated")), "value", "repeated", "left_semi")
 
 
 def _repeat(repeated: DataFrame) -> DataFrame:
     """Each value as often as it occurs; without keys the rows need not be fetched.
 
-    A frequent value is written out by many tasks, HOT_ROWS rows each.
+    A frequent value is written out by many tasks, PIECE_ROWS rows each.
     """
-    pieces = repeated.withColumn("piece", F.explode(F.expr(f"sequence(0L, (n - 1) div {HOT_ROWS})")))
+    pieces = repeated.withColumn("piece", F.explode(F.expr(f"sequence(0L, (n - 1) div {PIECE_ROWS})")))
     spread = pieces.repartition("value", "piece")
-    size = f"least({HOT_ROWS}L, n - piece * {HOT_ROWS})"
+    size = f"least({PIECE_ROWS}L, n - piece * {PIECE_ROWS})"
     return spread.select("value", F.explode(F.expr(f"sequence(1L, {size})")).alias("i")).select("value")

@@ -15,6 +15,8 @@ from .registry import RULES, multi_rule
 @multi_rule("expect_multicolumn_sum_to_equal", ignore_row_if="all_values_are_missing")
 def multicolumn_sum(fields: list[Field], value):
     """The row's sum; one that overflows is null and so unexpected."""
+    if isinstance(value, str):
+        value = float(value)  # text that is no number fails the rule alone
     total = reduce(lambda a, b: f"try_add({a}, {b})", map(_addend, fields))
     return f"{total} = {literal(value)}"
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 import traceback
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
@@ -26,6 +27,10 @@ from ..operators.registry import (
 )
 
 
+# A cast of quoted text in a compiled predicate.
+CONSTANT = re.compile(r"\bCAST\('(?:[^'\\]|\\.)*' AS [A-Za-z_]+(?:\([0-9, ]+\))?\)")
+
+
 @dataclass(frozen=True)
 class Check:
     """A rule made ready for one table.
@@ -109,11 +114,11 @@ def compile_suite(
         except Exception as error:  # noqa: BLE001 - any bad argument must end up in the result
             if strict:
                 raise
-            checks.append(_failed(position, rule, error))
+            checks.append(failed(position, rule, error))
     return _resolved(df, checks, keys, strict)
 
 
-def _failed(position: int, rule: Rule, error: Exception) -> Check:
+def failed(position: int, rule: Rule, error: Exception) -> Check:
     message = f"{type(error).__name__}: {error}".splitlines()[0]
     trace = "".join(traceback.format_exception(error))
     return Check(position, rule, RULES.get(rule.expectation_type), error=message, trace=trace)
@@ -130,7 +135,7 @@ def _compile(schema: T.StructType, position: int, rule: Rule, now: dt.datetime)
         raise ValueError("mostly must lie between 0 and 1")
     arguments = {name: d(now) if callable(d) else d for name, d in kind.defaults.items()}
     arguments |= {k: v for k, v in kwargs.items() if k not in COMMON_ARGUMENTS}
-    row_condition = kwargs.get("row_condition") or None
+    row_condition = lenient(kwargs.get("row_condition")) or None
     check = Check(position, rule, kind, kwargs, domain=row_condition, arguments=arguments)
 
     if kind.scope == "schema":
@@ -157,6 +162,14 @@ def _compile(schema: T.StructType, position: int, rule: Rule, now: dt.datetime)
     return check
 
 
+def lenient(condition: str | None) -> str | None:
+    """A row condition whose casts give null instead of an error; quoted text stays as it is."""
+    if not isinstance(condition, str):
+        return condition
+    parts = re.split(r"('(?:[^'\\\\]|\\\\.)*'|\"(?:[^\"\\\\]|\\\\.)*\"|`[^`]*`)", condition)
+    return "".join(p if i % 2 else re.sub(r"(?i)(?<![\w.])cast\s*\(", "try_cast(", p) for i, p in enumerate(parts))
+
+
 def _given(fields: tuple[Field, ...], condition: Predicate) -> Predicate:
     """The condition, false where a number is NaN: Spark sorts NaN above all, but it is no value."""
     return both(*[f"NOT isnan({f})" for f in fields if f.is_float], condition)
@@ -206,10 +219,26 @@ def _resolved(df: DataFrame, checks: list[Check], keys: list[str], strict: bool)
             probes[check.position] = [lambda c=check: as_column(c.domain)]
 
     def analyse(builders) -> None:
-        df.select(*[build().alias(f"probe_{i}") for i, build in enumerate(builders)]).schema
+        probes = [build().alias(f"probe_{i}") for i, build in enumerate(builders)]
+        df.select(*probes).schema
+
+    # What is constant is worked out once, without the table: bounds, members, sums, patterns.
+    constants: dict[int, list[Column]] = {}
+    for check in checks:
+        if check.error is None and isinstance(check.counted if check.judges_rows else None, str):
+            constants[check.position] = [F.expr(m[0]) for m in CONSTANT.finditer(check.counted)]
+        if check.error is None and isinstance(check.arguments.get("regex"), str):
+            constants.setdefault(check.position, []).append(F.lit("").rlike(check.arguments["regex"]))
+
+    def work_out(positions) -> None:
+        made = [c for p in positions for c in constants.get(p, [])]
+        if made:
+            one = df.sparkSession.range(1)
+            one.select(*[c.alias(f"constant_{i}") for i, c in enumerate(made)]).collect()
 
     try:
         analyse([b for builders in probes.values() for b in builders])
+        work_out(constants)
         return checks
     except Exception:  # noqa: BLE001
         if strict:
@@ -218,7 +247,8 @@ def _resolved(df: DataFrame, checks: list[Check], keys: list[str], strict: bool)
     for check in checks:
         try:
             analyse(probes.get(check.position, []))
+            work_out([check.position])
             result.append(check)
         except Exception as error:  # noqa: BLE001
-            result.append(_failed(check.position, check.rule, error))
+            result.append(failed(check.position, check.rule, error))
     return result

@@ -12,7 +12,7 @@ import datetime as dt
 import json
 import math
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -23,7 +23,7 @@ from ..functions.sqltext import Predicate, as_column, both, ident, literal
 from ..operators.duplicates import duplicate_counts, duplicate_rows
 from ..operators.ordering import falling_rows
 from ..operators.registry import FRACTION, LIST, PERCENT_ROUNDED, Rule
-from .compile import Check, compile_suite
+from .compile import Check, compile_suite, failed, lenient
 from .suite import Suite
 
 Rewrite = Callable[[Predicate | None], Predicate | None]
@@ -156,6 +156,36 @@ class Validation:
     def spark(self) -> SparkSession:
         return self.df.sparkSession
 
+    @property
+    def complete(self) -> bool:
+        """Whether a rule is to be reported with all its offending rows."""
+        levels = [_level(c.kwargs["result_format"]) for c in self.checks if c.kwargs.get("result_format")]
+        return max([self.level, *levels]) == LEVELS.index("COMPLETE")
+
+    def failing(self) -> dict[int, Exception]:
+        """The rules, by position, that raise when they run; found by halving."""
+        found: dict[int, Exception] = {}
+
+        def search(checks: list[Check]) -> None:
+            part = replace(self, checks=checks)
+            try:
+                part.graded.write.format("noop").mode("overwrite").save()
+                part.violations.write.format("noop").mode("overwrite").save()
+            except Exception as error:  # noqa: BLE001 - whatever it is, it goes to the rule's result
+                if len(checks) == 1:
+                    found[checks[0].position] = error
+                else:
+                    search(checks[: len(checks) // 2])
+                    search(checks[len(checks) // 2 :])
+
+        search(self.checks)
+        return found
+
+    def without(self, failing: Mapping[int, Exception]) -> "Validation":
+        """The same validation, with some rules failed by what they raised."""
+        checks = [failed(c.position, c.rule, failing[c.position]) if c.position in failing else c for c in self.checks]
+        return replace(self, checks=checks)
+
     # -- counts ------------------------------------------------------------
 
     @cached_property
@@ -192,7 +222,7 @@ class Validation:
 
     def _base(self, checks: list[Check]) -> DataFrame:
         """The table, filtered at the scan if all these rules share one row condition."""
-        conditions = {c.kwargs.get("row_condition") or None for c in checks}
+        conditions = {lenient(c.kwargs.get("row_condition")) or None for c in checks}
         if len(conditions) == 1 and None not in conditions:
             return self.df.filter(conditions.pop())
         return self.df

@@ -1,23 +1,29 @@
-"""Reading and writing: sessions, CSV, object listings, results, versioned tables."""
+"""Reading and writing: sessions, CSV, object listings, results, snapshots."""
 
 from .files import read_csv, read_csv_text, write_csv
 from .objects import list_objects
-from .results import read_results, write_results
+from .results import read_results, read_violations, stored_report, write_results, write_violations
 from .session import CatalogSettings, ObjectStore, build_session, remove_folder, scratch_folder, shared_folder
-from .versioned import VersionedTable
+from .snapshots import previous_snapshot, read_as_of, snapshot_log, write_snapshot
 
 __all__ = [
     "CatalogSettings",
     "ObjectStore",
-    "VersionedTable",
     "build_session",
     "list_objects",
+    "previous_snapshot",
+    "read_as_of",
     "read_csv",
     "read_csv_text",
     "read_results",
+    "read_violations",
     "remove_folder",
     "scratch_folder",
     "shared_folder",
+    "snapshot_log",
+    "stored_report",
     "write_csv",
     "write_results",
+    "write_snapshot",
+    "write_violations",
 ]

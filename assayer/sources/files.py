@@ -20,9 +20,9 @@ def read_csv(
     return reader.csv(path)
 
 
-def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header and possible line breaks; every column stays text."""
-    return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+def read_csv_text(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """CSV with a header; every column stays text.  Without line breaks in values, large files can be split."""
+    return spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').csv(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+LISTING = "key string, length bigint, modified timestamp"
 
 
 def list_objects(
@@ -13,29 +17,24 @@ def list_objects(
 
     Keys start with ``prefix`` and contain a match of ``pattern``; without
     ``recursive`` only those with no further slash after the prefix are given.
-    Only the listing is read: the content column is pruned.
+    No key is hidden, whatever its first character, and a prefix that is
+    nowhere gives no rows.  Only folders that may hold the prefix are listed,
+    and only what matches is kept on the driver.
     """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     base = root.rstrip("/")
     folder = prefix.rpartition("/")[0]
-    start = f"{base}/{folder}" if folder else base
-    found = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", recursive)
-        .load(start)
-        .select("path", "length", F.col("modificationTime").alias("modified"))
-    )
-    place = F.regexp_replace("path", r"^[a-zA-Z0-9+.-]+:/+", "/")
-    bare = "/" + _without_scheme(base)
-    if "://" in base and not base.startswith("file:"):
-        # s3a://bucket/key: the bucket belongs to the root, not to the key.
-        bare = "/" + base.split("://", 1)[1]
-    key = F.expr(f"substring(place, {len(bare) + 2})")
-    listed = found.withColumn("place", F.url_decode(F.replace(place, F.lit("+"), F.lit("%2B")))).withColumn("key", key)
-    listed = listed.filter(F.startswith("key", F.lit(prefix)) & F.col("key").rlike(pattern))
-    if not recursive:
-        listed = listed.filter(~F.expr(f"substring(key, {len(prefix) + 1})").contains("/"))
-    return listed.select("key", "length", "modified")
-
-
-def _without_scheme(path: str) -> str:
-    return path.removeprefix("file:").lstrip("/")
+    start = hadoop.Path(f"{base}/{folder}" if folder else base)
+    store = start.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    bare = store.makeQualified(hadoop.Path(base)).toUri().getPath().rstrip("/") + "/"
+    wanted = re.compile(pattern)
+    found = []
+    if store.exists(start):
+        entries = store.listFiles(start, recursive)
+        while entries.hasNext():
+            entry = entries.next()
+            key = entry.getPath().toUri().getPath().removeprefix(bare)
+            if key.startswith(prefix) and wanted.search(key) and (recursive or "/" not in key[len(prefix) :]):
+                modified = datetime.fromtimestamp(entry.getModificationTime() / 1000, timezone.utc)
+                found.append((key, entry.getLen(), modified))
+    return spark.createDataFrame(found, LISTING)

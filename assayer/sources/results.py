@@ -1,8 +1,9 @@
-"""Validation results in storage, one partition per run."""
+"""Validation results and offending rows in storage, one partition per run."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 RESULTS_SCHEMA = (
     "suite string, position int, rule_id string, expectation_type string, column_list array<string>, "
@@ -26,3 +27,38 @@ def read_results(spark: SparkSession, path: str, run_id: str | None = None) -> D
     """All stored runs, or one; only that run's folder is then read."""
     stored = spark.read.schema(RESULTS_SCHEMA).json(path)
     return stored if run_id is None else stored.filter(stored.run_id == run_id)
+
+
+def write_violations(violations: DataFrame, path: str) -> None:
+    """Add a run's offending rows, all of them, to a Parquet dataset below ``run_id=<run>``."""
+    violations.write.mode("append").partitionBy("run_id").parquet(path)
+
+
+def read_violations(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
+    """The stored offending rows of all runs, or of one; only that run's folder is then read."""
+    stored = spark.read.parquet(path).withColumn("run_id", F.col("run_id").cast("string"))
+    return stored if run_id is None else stored.filter(F.col("run_id") == run_id)
+
+
+def stored_report(results: DataFrame, violations: DataFrame) -> DataFrame:
+    """The report of one stored run, from its results and offending rows; the table itself is not needed.
+
+    As in ``Validation.report``: every offending row with a pass flag of its
+    business rule, and one row without a value for each clean check.
+    """
+    head = ["rule_id", "expectation_type", "column"]
+    checks = results.select(
+        "rule_id",
+        F.coalesce(F.col("meta")["Rule"], F.col("rule_id")).alias("rule"),
+        "expectation_type",
+        F.array_join("column_list", ", ").alias("column"),
+        (F.col("unexpected_count").isNotNull() | F.col("success")).alias("fine"),
+    )
+    dirty = violations.select(*head).distinct().withColumn("dirty", F.lit(True))
+    flags = checks.join(dirty, head, "left").withColumn("clean", F.col("fine") & F.col("dirty").isNull())
+    flags = flags.withColumn("pass", F.every("clean").over(Window.partitionBy("rule")))
+    marks = flags.select(*head, "pass")
+    # One row per rule, so the flags are a small side by their nature.
+    hit = violations.drop("run_id").join(F.broadcast(marks), head)
+    clean = flags.filter("clean").select(*head, "rule", "pass")
+    return hit.unionByName(clean, allowMissingColumns=True)

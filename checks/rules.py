@@ -252,6 +252,13 @@ add(
         "order_date is null",
     ),
 )
+# Order dates as people write them: ten forms that are dates, two that are not.
+add(
+    "dq_parseable_forms",
+    "written_orders",
+    [("column_values_to_be_dateutil_parseable", dict(column="written"))],
+    row_result("column_values_to_be_dateutil_parseable", "written_orders", "form < 10", "written is null"),
+)
 add(
     "dq_increasing",
     EVENTS,

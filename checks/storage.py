@@ -1,11 +1,21 @@
-"""Queries over files and versioned tables made from the given tables."""
+"""Queries over files and snapshots made from the given tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.sources import VersionedTable, list_objects, read_csv, read_csv_text, scratch_folder, write_csv
+from assayer.sources import (
+    list_objects,
+    previous_snapshot,
+    read_as_of,
+    read_csv,
+    read_csv_text,
+    scratch_folder,
+    snapshot_log,
+    write_csv,
+    write_snapshot,
+)
 
 from .suites import query as _query
 from .tables import given, table, table_sql
@@ -83,22 +93,50 @@ def list_stored_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy(folder).agg(F.every(F.col("length") > 0).alias("filled"))
 
 
-# -- versioned table ------------------------------------------------------
+def _mixed_objects(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with files of its own, partition folders, and names that begin with _ and dot."""
+    root = scratch_folder(spark, "objects")
+    nations = given(spark, sf_dir, "nation").select("n_regionkey", F.col("n_name").alias("value"))
+    nations.write.partitionBy("n_regionkey").text(f"{root}/in")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    store = hadoop.Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for name in ("a b.csv", "_hidden", ".dot", "b+c.csv"):
+        store.create(hadoop.Path(f"{root}/in/{name}")).close()
+    return root
+
+
+@_query(
+    "list_objects_flat",
+    "select 'in/' || name as key from (values ('a b.csv'), ('_hidden'), ('.dot'), ('b+c.csv'), ('_SUCCESS')) x(name)"
+    " where (select count(*) from nation) > 0",
+)
+def list_objects_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files beside partition folders, one level, none hidden; checksums of the local file system left out."""
+    found = list_objects(spark, _mixed_objects(spark, sf_dir), prefix="in/")
+    return found.filter(~F.col("key").endswith(".crc")).select("key")
+
+
+@_query("list_objects_absent", "select n_name as key from nation where n_name = 'a prefix that is nowhere'")
+def list_objects_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return list_objects(spark, _mixed_objects(spark, sf_dir), prefix="nowhere/x").select("key")
+
+
+# -- snapshots ------------------------------------------------------------
 
 STORED = ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
-PARTS = ["F", "O", "P"]
+# Every order is in one of the parts, whatever its key.
+PART = "coalesce(abs(o_orderkey) % 3, 0)"
 STATE = "count(*) as n, cast(sum(o_orderkey) as bigint) as key_sum, round(sum(o_totalprice), 2) as total"
 STATES = f"select o_orderstatus, {STATE} from orders"
 
 
-def _orders_in_three(spark: SparkSession, sf_dir: str) -> VersionedTable:
-    """All orders, appended by status to an empty table: snapshots 1 to 4."""
+def _orders_in_three(spark: SparkSession, sf_dir: str) -> str:
+    """All orders, dealt by key to snapshots 1 to 3."""
     orders = given(spark, sf_dir, "orders").select(*STORED)
-    stored = VersionedTable(spark, scratch_folder(spark, "versioned"))
-    stored.create(orders.schema)
-    for status in PARTS:
-        stored.append(orders.filter(F.col("o_orderstatus") == status))
-    return stored
+    path = scratch_folder(spark, "snapshots")
+    for part in range(3):
+        write_snapshot(orders.filter(f"{PART} = {part}"), path, part + 1)
+    return path
 
 
 def _states(orders: DataFrame) -> DataFrame:
@@ -111,43 +149,30 @@ def _states(orders: DataFrame) -> DataFrame:
 
 @_query("snap_append", f"select {STATE} from orders")
 def snap_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _states(_orders_in_three(spark, sf_dir).current().withColumn("o_orderstatus", F.lit("all"))).drop(
-        "o_orderstatus"
-    )
+    stored = read_as_of(spark, _orders_in_three(spark, sf_dir))
+    return _states(stored.withColumn("o_orderstatus", F.lit("all"))).drop("o_orderstatus")
 
 
 @_query("snap_current", f"{STATES} group by o_orderstatus")
 def snap_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _states(_orders_in_three(spark, sf_dir).current())
+    return _states(read_as_of(spark, _orders_in_three(spark, sf_dir)))
 
 
-@_query(
-    "snap_log",
-    """
-select snapshot_id, operation, (select count(*) from orders where o_orderstatus <= last) as n
-from (values (1::bigint, 'create', ''), (2::bigint, 'append', 'F'), (3::bigint, 'append', 'O'), (4::bigint, 'append', 'P'))
-     x(snapshot_id, operation, last)""",
-)
+@_query("snap_log", f"select cast({PART} + 1 as int) as snapshot_id, count(*) as added from orders group by 1")
 def snap_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log, with the number of rows each snapshot shows."""
-    stored = _orders_in_three(spark, sf_dir)
-    sizes = None
-    for snapshot in range(1, 5):
-        size = stored.as_of(snapshot).agg(F.count(F.lit(1)).alias("n"))
-        size = size.withColumn("snapshot_id", F.lit(snapshot).cast("bigint"))
-        sizes = size if sizes is None else sizes.unionByName(size)
-    return stored.log().join(sizes, "snapshot_id").select("snapshot_id", "operation", "n")
+    return snapshot_log(spark, _orders_in_three(spark, sf_dir))
 
 
-@_query("snap_previous", f"{STATES} where o_orderstatus in ('F', 'O') group by o_orderstatus")
+@_query("snap_previous", f"{STATES} where {PART} < 2 group by o_orderstatus")
 def snap_previous(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = _orders_in_three(spark, sf_dir)
-    return _states(stored.as_of(stored.previous_id()))
+    path = _orders_in_three(spark, sf_dir)
+    return _states(read_as_of(spark, path, previous_snapshot(spark, path)))
 
 
-@_query("snap_as_of", f"{STATES} where o_orderstatus = 'F' group by o_orderstatus")
+@_query("snap_as_of", f"{STATES} where {PART} = 0 group by o_orderstatus")
 def snap_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _orders_in_three(spark, sf_dir).as_of_view("orders_then", 2)
+    """Time travel in SQL: the view holds the first snapshot."""
+    read_as_of(spark, _orders_in_three(spark, sf_dir), 1).createOrReplaceTempView("orders_then")
     return spark.sql(
         "SELECT o_orderstatus, count(*) AS n, sum(o_orderkey) AS key_sum, round(sum(o_totalprice), 2) AS total"
         " FROM orders_then GROUP BY o_orderstatus"
@@ -160,9 +185,9 @@ def snap_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     " union all select 'after', count(*), count(distinct c_mktsegment) from customer",
 )
 def snap_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Replace rows and schema; the snapshot before stays readable."""
-    stored = _orders_in_three(spark, sf_dir)
-    stored.replace(given(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"))
+    """Create or replace: other rows and columns under a new path; the old dataset stays readable."""
+    before, after = _orders_in_three(spark, sf_dir), scratch_folder(spark, "snapshots")
+    write_snapshot(given(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), after, 1)
 
     def size(state: str, rows: DataFrame, column: str) -> DataFrame:
         # Two steps instead of count(distinct): the groups are few.
@@ -171,8 +196,8 @@ def snap_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(state).alias("state"), "n", "kinds"
         )
 
-    return size("before", stored.as_of(4), "o_orderstatus").unionByName(
-        size("after", stored.current(), "c_mktsegment")
+    return size("before", read_as_of(spark, before), "o_orderstatus").unionByName(
+        size("after", read_as_of(spark, after), "c_mktsegment")
     )
 
 
@@ -187,8 +212,34 @@ union all
 select 'before', o_orderstatus, {STATE} from orders group by o_orderstatus""",
 )
 def snap_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = _orders_in_three(spark, sf_dir)
-    before = stored.log().agg(F.max("snapshot_id")).head()[0]
-    stored.update({"o_orderstatus": "'pending'", "o_totalprice": "o_totalprice * 2"}, "o_orderstatus = 'P'")
-    after = _states(stored.current()).withColumn("state", F.lit("after"))
-    return after.unionByName(_states(stored.as_of(before)).withColumn("state", F.lit("before")))
+    """An update, as plain Parquet has it: all rows written anew with the change; the old dataset stays readable."""
+    before, after = _orders_in_three(spark, sf_dir), scratch_folder(spark, "snapshots")
+    pending = F.col("o_orderstatus") == "P"
+    changed = read_as_of(spark, before).withColumns(
+        {
+            "o_orderstatus": F.when(pending, "pending").otherwise(F.col("o_orderstatus")),
+            "o_totalprice": F.when(pending, F.col("o_totalprice") * 2).otherwise(F.col("o_totalprice")),
+        }
+    )
+    write_snapshot(changed, after, 1)
+    old = _states(read_as_of(spark, before)).withColumn("state", F.lit("before"))
+    return _states(read_as_of(spark, after)).withColumn("state", F.lit("after")).unionByName(old)
+
+
+@_query("scan_named", f"{STATES} group by o_orderstatus")
+def scan_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table read by its name."""
+    given(spark, sf_dir, "orders").createOrReplaceTempView("named_orders")
+    return _states(spark.table("named_orders"))
+
+
+@_query(
+    "inline_rows",
+    "select label, count(*) as n from orders join (values ('F', 'filled'), ('O', 'open'), ('P', 'part')) x(code, label)"
+    " on o_orderstatus = code group by label",
+)
+def inline_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows given in the query itself, joined to a table."""
+    labels = spark.sql("SELECT * FROM VALUES ('F', 'filled'), ('O', 'open'), ('P', 'part') AS x(code, label)")
+    orders = given(spark, sf_dir, "orders").select("o_orderstatus")
+    return orders.join(labels, F.col("o_orderstatus") == F.col("code")).groupBy("label").agg(F.count(F.lit(1)).alias("n"))

@@ -4,11 +4,20 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayer import Rule, Suite, fill_for_display, latest_results, run_validation, validate
-from assayer.sources import read_csv, read_results, scratch_folder, write_csv, write_results
+from assayer.sources import (
+    read_csv,
+    read_results,
+    read_violations,
+    scratch_folder,
+    stored_report,
+    write_csv,
+    write_results,
+    write_violations,
+)
 
 from .oracle import day, row_result, union
 from .rules import verdicts
@@ -113,7 +122,7 @@ RESULTS_SQL = union(
 )
 
 
-def short(results: DataFrame) -> DataFrame:
+def short(results: DataFrame, *more: Column) -> DataFrame:
     """The columns of a result that the oracles compare."""
     return results.select(
         "rule_id",
@@ -124,6 +133,7 @@ def short(results: DataFrame) -> DataFrame:
         "unexpected_count",
         F.round("unexpected_percent", 6).alias("unexpected_percent"),
         F.round("observed_value", 6).alias("observed_value"),
+        *more,
     )
 
 
@@ -137,12 +147,8 @@ select *, round(100::double * missing_count / element_count, 6) as missing_perce
 from ({RESULTS_SQL}) r""",
 )
 def suite_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    results = grouped(spark, sf_dir).graded
-    more = [
-        F.round(c, 6).alias(c)
-        for c in ("missing_percent", "unexpected_percent_total", "unexpected_percent_nonmissing")
-    ]
-    return short(results.select("*")).join(results.select("rule_id", *more), "rule_id")
+    shares = ("missing_percent", "unexpected_percent_total", "unexpected_percent_nonmissing")
+    return short(grouped(spark, sf_dir).graded, *[F.round(c, 6).alias(c) for c in shares])
 
 
 @query(
@@ -180,15 +186,12 @@ def violations_shuffled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         Rule.of(
             "expect_column_values_to_be_unique",
             column="user_id",
-            row_condition="event_type = 'error'",
+            row_condition="given_type = 'error'",
             rule_id="repeated",
         ),
         Rule.of("expect_column_values_to_be_increasing", column="value", order_by="event_id", rule_id="falling"),
     ]
-    events = table(spark, sf_dir, "dirty_events")
-    # The uniqueness rule is about the given event types, not the ones made null.
-    events = events.drop("event_type").join(table(spark, sf_dir, "events").select("event_id", "event_type"), "event_id")
-    return validate(events, Suite("shuffled", rules), keys=["event_id"]).violations.select(
+    return validate(table(spark, sf_dir, "dirty_events"), Suite("shuffled", rules), keys=["event_id"]).violations.select(
         "rule_id", "value", "event_id"
     )
 
@@ -333,7 +336,10 @@ select 'good' as rule_id, false as raised_exception, count(*) filter (where stat
        count(*) filter (where status is null) as unexpected_count from {ORDERS} t
 union all
 select rule_id, true, false, null
-from (values ('column'), ('operator'), ('condition'), ('unknown'), ('weekday')) x(rule_id)""",
+from (values ('column'), ('operator'), ('condition'), ('unknown'), ('weekday'), ('regex'), ('bound'), ('member'),
+             ('sum')) x(rule_id)
+union all
+select 'casting', false, true, 0""",
 )
 def rule_exception(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A rule that cannot run fails by itself and says why."""
@@ -348,6 +354,19 @@ def rule_exception(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         Rule.of("expect_column_values_to_be_perfect", column="price", rule_id="unknown"),
         Rule.of("expect_column_values_to_be_specific_day", column="order_date", day_of_week=8, rule_id="weekday"),
+        Rule.of("expect_column_values_to_match_regex", column="status", regex="(", rule_id="regex"),
+        Rule.of("expect_column_values_to_be_between", column="o_orderdate", min_value="someday", rule_id="bound"),
+        Rule.of("expect_column_values_to_be_in_set", column="o_orderdate", value_set=["someday"], rule_id="member"),
+        Rule.of(
+            "expect_multicolumn_sum_to_equal", column_list=["price", "o_orderkey"], value="much", rule_id="sum"
+        ),
+        # Not every status is a number; the condition then leaves its row out.
+        Rule.of(
+            "expect_column_values_to_not_be_null",
+            column="price",
+            row_condition="CAST(status AS INT) > 1",
+            rule_id="casting",
+        ),
     ]
     results = validate(table(spark, sf_dir, "dirty_orders"), Suite("exceptions", rules)).results
     told = F.col("exception_message").isNotNull() == F.col("raised_exception")
@@ -431,7 +450,7 @@ def sink_result_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_folder(spark, "results")
     write_results(grouped(spark, sf_dir, run_id="first", run_time=FIRST_RUN, result_format="COMPLETE").results, path)
     stored = read_results(spark, path)
-    return short(stored).join(stored.select("rule_id", "run_id"), "rule_id")
+    return short(stored, F.col("run_id"))
 
 
 @query("result_by_run", PRICED_SQL)
@@ -461,3 +480,35 @@ def validate_job(spark: SparkSession, sf_dir: str) -> DataFrame:
         run_id="job",
     )
     return short(read_results(spark, target, "job"))
+
+
+# -- stored runs with all their offending rows ------------------------------
+
+
+def _complete_run(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(results, offending rows) of a complete run, as read back from storage."""
+    target, rows = scratch_folder(spark, "results"), scratch_folder(spark, "violations")
+    run_validation(
+        spark,
+        lambda session: table(session, sf_dir, "dirty_orders"),
+        Suite("grouped", grouped_rules()),
+        write_results,
+        write_rows=write_violations,
+        keys=KEYS,
+        result_format="COMPLETE",
+        run_id="complete",
+        writer_kwargs={"path": target},
+        rows_kwargs={"path": rows},
+    )
+    return read_results(spark, target, "complete"), read_violations(spark, rows, "complete")
+
+
+@query("stored_violations", f"select * from ({listed_sql()}) v")
+def stored_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _complete_run(spark, sf_dir)[1].drop("run_id")
+
+
+@query("stored_report", ORACLES["violations_report"])
+def stored_report_of_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    results, rows = _complete_run(spark, sf_dir)
+    return stored_report(results, rows).select("rule", "expectation_type", "column", "value", *KEYS, "pass")

@@ -13,6 +13,28 @@ ORDER_DAY = DAY.format("o_orderdate")
 SHIP_DAY = DAY.format("l_shipdate")
 RECEIPT_DAY = DAY.format("cast(l_shipdate as date) + cast(l_orderkey % 7 - 2 as int)")
 
+MONTH = "case month(o_orderdate) " + " ".join(
+    f"when {n} then '{m}'"
+    for n, m in enumerate(
+        "January February March April May June July August September October November December".split(), 1
+    )
+) + " end"
+YEAR_, MONTH_, DAY_ = (f"cast({part}(o_orderdate) as string)" for part in ("year", "month", "day"))
+FORMS = [
+    f"concat({DAY_}, '-', substring({MONTH}, 1, 3), '-', {YEAR_})",
+    f"concat({MONTH}, ' ', {DAY_}, ', ', {YEAR_})",
+    f"concat(substring({MONTH}, 1, 3), ' ', {DAY_})",
+    f"concat({MONTH}, ' ', {YEAR_})",
+    f"concat({MONTH_}, '/', {DAY_}, '/', substring({YEAR_}, 3, 2))",
+    f"concat({DAY_}, '.', {MONTH_}, '.', {YEAR_})",
+    f"concat({YEAR_}, '/', {MONTH_}, '/', {DAY_}, ' 10:30 PM')",
+    f"concat('Sunday, ', {DAY_}, ' ', {MONTH}, ' ', {YEAR_})",
+    f"concat('Mon ', substring({MONTH}, 1, 3), '  ', {DAY_}, ' 10:11:12 ', {YEAR_})",
+    ORDER_DAY,
+    f"concat('32 ', {MONTH}, ' ', {YEAR_})",
+    f"concat({YEAR_}, '-13-', {DAY_}, ' or so')",
+]
+
 TABLES: dict[str, tuple[str, list[str]]] = {
     "dirty_orders": (
         "orders",
@@ -34,6 +56,16 @@ TABLES: dict[str, tuple[str, list[str]]] = {
             "case when o_orderkey % 43 = 0 then null else o_orderpriority end as priority",
         ],
     ),
+    "written_orders": (
+        "orders",
+        [
+            "o_orderkey",
+            f"o_orderkey % {len(FORMS)} as form",
+            "case when o_orderkey % 101 = 0 then null "
+            + " ".join(f"when o_orderkey % {len(FORMS)} = {n} then {form}" for n, form in enumerate(FORMS))
+            + " end as written",
+        ],
+    ),
     "dirty_lines": (
         "lineitem",
         [
@@ -59,6 +91,7 @@ TABLES: dict[str, tuple[str, list[str]]] = {
             "user_id",
             "case when event_id % 19 = 0 then null else value end as value",
             "case when event_id % 73 = 0 then null else event_type end as event_type",
+            "event_type as given_type",
         ],
     ),
 }

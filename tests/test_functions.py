@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from assayer.functions.arithmetic import arithmetic
 from assayer.functions.conditions import as_date, as_double, member
 from assayer.functions.sqltext import Field, ident, literal, quote
-from assayer.functions.timeformats import COMMON_LAYOUTS, is_parseable, matches_strftime
+from assayer.functions.timeformats import is_parseable, matches_strftime
 
 TEXTS = [
     "2024-02-29",
@@ -68,7 +68,9 @@ def test_unknown_directive():
 
 
 def test_parseable(spark):
-    good = [dt.datetime(2024, 2, 29, 13, 5, 7).strftime(layout) for layout in COMMON_LAYOUTS]
+    layouts = ["%Y%m%d", "%Y/%m/%d", "%Y.%m.%d", "%m/%d/%Y", "%m-%d-%Y", "%d.%m.%Y", "%Y/%m/%d %H:%M"]
+    layouts += ["%m/%d/%Y %H:%M:%S", "%Y%m%d%H%M%S", "%d %b %Y", "%d %B %Y", "%b %d, %Y", "%B %d, %Y", "%b %d %Y"]
+    good = [dt.datetime(2024, 2, 29, 13, 5, 7).strftime(layout) for layout in layouts]
     good += ["2024-02-29", "2024-02", "2024", "2024-02-29T13:05:07Z", "2024-02-29 13:05:07.123"]
     bad = ["abc", "2024-02-30", "30.02.2024", "", "2024-13-01", "19-96x"]
     assert ask(spark, good, is_parseable("t")) == [True] * len(good)
@@ -112,3 +114,37 @@ def test_arithmetic(spark, template, expected):
 def test_arithmetic_refuses(template):
     with pytest.raises(ValueError):
         arithmetic(template, ["a", "b"])
+
+
+# Read by dateutil, or not.
+WRITTEN = [
+    "08-Sep-2024", "Sep 8", "September 2024", "Sunday, September 8, 2024", "8 Sept 2024", "9/8/24", "10:30 PM",
+    "20240908T101112", "Mon Sep  9 10:11:12 2024", "2024-09-08", "2024-09-08T10:11:12Z", "2024/9/8", "8.9.2024",
+    "Sep 8, 2024 10:30", "8th of September 2024", "20240908", "2024-09", "Feb 29, 2024", "29/02/2024", "31/12/1999",
+    "12/31/1999 23:59:59", "2024 Sep 8", "10:11", "Sep", "Friday", "2024-09-08 10:11:12.123 +02:00", "1 May 99",
+    "30 Feb 2024", "31 Sep 2024", "2024-13-01", "abc", "2024-02-30", "32/01/2024", "25:00", "10:61", "Feb 29, 2023",
+    "31/11/2024", "Septober 8", "13:00 PM", "20241301", "n/a", "12.5.x",
+]
+
+
+@pytest.mark.parametrize("text", WRITTEN)
+def test_written_dates_as_dateutil_reads_them(spark, text):
+    from dateutil import parser
+
+    try:
+        parser.parse(text)
+        good = True
+    except (ValueError, OverflowError):
+        good = False
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.selectExpr(f"{is_parseable('t')} as good").first().good == good
+
+
+@pytest.mark.parametrize("pattern,good,bad", [
+    ("%A, %d %B %Y", "Sunday, 08 September 2024", "Someday, 08 September 2024"),
+    ("%a %j %Y", "Sun 252 2024", "Sun 367 2024"),
+    ("%Y-%m-%d %T", "2024-09-08 10:11:12", "2024-09-31 10:11:12"),
+])
+def test_more_directives(spark, pattern, good, bad):
+    df = spark.createDataFrame([(good,), (bad,)], "t string")
+    assert [r[0] for r in df.selectExpr(matches_strftime("t", pattern)).collect()] == [True, False]

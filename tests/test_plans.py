@@ -8,7 +8,7 @@ import pytest
 
 from assayer import Rule, validate
 from assayer.plans.validate import RULES_PER_PASS
-from assayer.sources import VersionedTable, read_results, write_results
+from assayer.sources import read_as_of, read_results, write_results, write_snapshot
 
 TABLES = "/root/testdata/sf0.001"
 
@@ -118,10 +118,10 @@ def test_many_rules_are_split(lines):
 
 
 def test_snapshots_and_runs_are_partition_filters(spark, lines, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "lines"))
-    table.replace(lines.limit(10))
-    table.append(lines.limit(10))
-    assert "PartitionFilters: [isnotnull(snapshot_id" in plan(table.as_of(1))
+    path = str(tmp_path / "lines")
+    for snapshot in (1, 2):
+        write_snapshot(lines.limit(10), path, snapshot)
+    assert "PartitionFilters: [isnotnull(snapshot_id" in plan(read_as_of(spark, path, 1))
     outcome = validate(lines, ROW_RULES, run_id="r1")
     write_results(outcome.results, str(tmp_path / "results"))
     assert "PartitionFilters: [isnotnull(run_id" in plan(read_results(spark, str(tmp_path / "results"), "r1"))

@@ -1,4 +1,4 @@
-"""Shuffle rules with frequent values: salted and range-split forms against brute force."""
+"""Shuffle rules with frequent values: split forms against brute force."""
 
 import random
 
@@ -6,17 +6,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from assayer.operators import duplicates
-from assayer.operators.duplicates import SALTS, duplicate_counts, duplicate_rows
+from assayer.operators.duplicates import duplicate_counts, duplicate_rows
 from assayer.operators.ordering import falling_rows
 
 
-@pytest.mark.parametrize("hot_rows", [2, 50, 10**9])
-def test_repeated_values(spark, hot_rows):
+def test_repeated_values(spark):
     chance = random.Random(1)
     values = [7 if i % 3 == 0 else chance.choice([None, *range(400)]) for i in range(3000)]
     df = spark.createDataFrame(list(enumerate(values)), "i int, v int").repartition(5)
     value, missing = F.col("v"), F.col("v").isNull()
-    rows = duplicate_rows(df, value, missing, ["i"], hot_rows=hot_rows).collect()
+    rows = duplicate_rows(df, value, missing, ["i"]).collect()
     given = [v for v in values if v is not None]
     wanted = sorted(i for i, v in enumerate(values) if v is not None and given.count(v) > 1)
     assert sorted(r.i for r in rows) == wanted
@@ -26,18 +25,33 @@ def test_repeated_values(spark, hot_rows):
 
 
 def test_repeated_values_without_keys(spark, monkeypatch):
-    monkeypatch.setattr(duplicates, "HOT_ROWS", 10)
+    monkeypatch.setattr(duplicates, "PIECE_ROWS", 10)
     values = [1] * 35 + [2] * 10 + [3] * 11 + [4, None, None]
     df = spark.createDataFrame([(v,) for v in values], "v int")
     rows = duplicate_rows(df, F.col("v"), F.col("v").isNull(), []).collect()
     assert sorted(r.value for r in rows) == [1] * 35 + [2] * 10 + [3] * 11
 
 
-def test_frequent_value_is_spread(spark):
-    """No salt holds much more of the frequent value than another."""
-    df = spark.range(20000).select(F.col("id").alias("i"))
-    sizes = df.groupBy(F.pmod(F.xxhash64("i"), F.lit(SALTS))).count().agg(F.min("count"), F.max("count")).first()
-    assert sizes[1] < 2 * sizes[0]
+def test_frequent_values_are_split(spark):
+    """A value with most rows is split over tasks when its rows are fetched; so are many frequent ones."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    df = spark.range(0, 400_000, 1, 8).selectExpr("id as i", "if(id % 3 = 0, 7, id % 1500) as v")
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        rows = duplicate_rows(df, F.col("v"), F.col("v").isNull(), ["i"])
+        assert rows.count() == 400_000
+        placed = rows.select("value", F.spark_partition_id().alias("task")).toPandas()
+        assert placed[placed.value == 7].task.nunique() > 1
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def brute_force(rows):

@@ -1,98 +1,22 @@
 from types import SimpleNamespace
 
 import pytest
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from assayer.sources import CatalogSettings, ObjectStore, VersionedTable, list_objects, read_csv, read_csv_text
-from assayer.sources import scratch_folder, write_csv
-
-SCHEMA = T.StructType(
-    [
-        T.StructField("order_id", T.LongType(), True, {"comment": "order"}),
-        T.StructField("order_date", T.StringType()),
-        T.StructField("amount", T.DoubleType()),
-        T.StructField("status", T.StringType(), True, {"comment": "state"}),
-    ]
-)
-FIRST = [(1, "2023-03-05", 12.5, "open"), (2, "2023-03-06", 80.25, "held"), (3, "2023-03-07", 7.0, "closed")]
-
-
-@pytest.fixture
-def orders(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "orders"))
-    assert table.create(SCHEMA) == 1
-    assert table.append(spark.createDataFrame(FIRST, SCHEMA)) == 2
-    return table
-
-
-def ids(df):
-    return sorted(r.order_id for r in df.collect())
 
+from assayer.sources import CatalogSettings, ObjectStore, list_objects, previous_snapshot, read_as_of, read_csv
+from assayer.sources import read_csv_text, remove_folder, scratch_folder, snapshot_log, write_csv, write_snapshot
 
-def test_time_travel(spark, orders):
-    assert orders.current().count() == 3
-    orders.append(spark.createDataFrame([(4, "2023-03-08", 41.0, "open")], SCHEMA))
-    assert ids(orders.current()) == [1, 2, 3, 4]
-    assert orders.previous_id() == 2 and ids(orders.as_of(orders.previous_id())) == [1, 2, 3]
-    assert ids(orders.as_of(1)) == []
-    assert [(r.snapshot_id, r.operation) for r in orders.log().collect()] == [(1, "create"), (2, "append"), (3, "append")]
-    orders.as_of_view("orders_before", 2)
-    assert spark.sql("SELECT count(*) FROM orders_before").first()[0] == 3
-    assert orders.current().schema["order_id"].metadata == {"comment": "order"}
-    with pytest.raises(ValueError):
-        orders.as_of(9)
-
-
-def test_create_if_absent(spark, orders):
-    assert orders.create(SCHEMA, if_absent=True) == 2
-    assert orders.current().count() == 3
-
-
-def test_update_rewrites_only_what_it_touches(spark, orders):
-    orders.append(spark.createDataFrame([(4, "2023-03-08", 41.0, "open")], SCHEMA))
-    new = orders.update({"status": "'done'", "amount": "amount + 1"}, "status = 'held'")
-    assert {r.order_id: (r.status, r.amount) for r in orders.current().collect()} == {
-        1: ("open", 12.5),
-        2: ("done", 81.25),
-        3: ("closed", 7.0),
-        4: ("open", 41.0),
-    }
-    assert orders._log().filter(F.col("snapshot_id") == new).first().rewritten == [2]
-    assert orders.as_of(3).filter("status = 'held'").count() == 1
-    assert orders.update({"status": "'x'"}, "order_id = 99") == new
-    orders.update({"status": "'last'"}, "order_id >= 2")
-    assert orders.current().filter("status = 'last'").count() == 3 and orders.current().count() == 4
-    with pytest.raises(ValueError):
-        orders.update({"nowhere": "1"}, "true")
-
-
-def test_replace_starts_a_new_lineage(spark, orders):
-    orders.replace(spark.createDataFrame([("x",)], "name string"))
-    assert orders.current().columns == ["name"]
-    assert ids(orders.as_of(2)) == [1, 2, 3]
-    orders.append(spark.createDataFrame([("y",)], "name string"))
-    assert orders.current().count() == 2
-    with pytest.raises(ValueError):
-        orders.append(spark.createDataFrame(FIRST, SCHEMA))
-
-
-def test_uncommitted_data_is_invisible_and_overwritten(spark, orders):
-    stray = f"{orders.path}/data/lineage=1/snapshot_id=3"
-    spark.createDataFrame([(77, "x", 1.0, "stray")], SCHEMA).write.parquet(stray)
-    assert ids(orders.current()) == [1, 2, 3]
-    orders.append(spark.createDataFrame([(4, "2023-03-08", 41.0, "open")], SCHEMA))
-    assert ids(orders.current()) == [1, 2, 3, 4]
-
-
-def test_append_takes_columns_by_name(spark, orders):
-    orders.append(spark.createDataFrame([("new", 5, 1.0, "d")], "status string, order_id int, amount double, order_date string"))
-    assert orders.current().filter("order_id = 5").first().status == "new"
-
-
-def test_missing_table(spark, tmp_path):
-    with pytest.raises(ValueError, match="not a table"):
-        VersionedTable(spark, str(tmp_path / "none")).current()
+def test_snapshots(spark, tmp_path):
+    path = str(tmp_path / "visits")
+    for snapshot, rows in enumerate([[(1, "in"), (2, "out")], [(3, "in")], [(None, None)]], 1):
+        write_snapshot(spark.createDataFrame(rows, "visit int, gate string"), path, snapshot)
+    assert read_as_of(spark, path).count() == 4
+    assert read_as_of(spark, path, 2).columns == ["visit", "gate"]
+    assert sorted(r.visit for r in read_as_of(spark, path, 2).collect()) == [1, 2, 3]
+    assert previous_snapshot(spark, path) == 2
+    assert sorted((r.snapshot_id, r.added) for r in snapshot_log(spark, path).collect()) == [(1, 2), (2, 1), (3, 1)]
+    assert read_as_of(spark, path, 0).count() == 0
+    with pytest.raises(Exception, match="already exists"):
+        write_snapshot(spark.createDataFrame([(9, "x")], "visit int, gate string"), path, 3)
 
 
 TEXTS = ['plain', 'two\nlines', 'a "quoted" word', ' spaced ', "comma, and \\ slash", None, "ünïcode"]
@@ -112,7 +36,7 @@ def test_csv_roundtrip(spark, tmp_path):
 
 
 def test_list_objects(spark, tmp_path):
-    for name in ("in/a b.csv", "in/b+c.csv", "in/note.txt", "in/deep/c.csv", "other/d.csv"):
+    for name in ("in/a b.csv", "in/b+c.csv", "in/note.txt", "in/k=1/c.csv", "in/k=2/_e.csv", "in/.f", "other/d.csv"):
         file = tmp_path / name
         file.parent.mkdir(parents=True, exist_ok=True)
         file.write_text("x")
@@ -120,10 +44,16 @@ def test_list_objects(spark, tmp_path):
     def keys(**kwargs):
         return sorted(r.key for r in list_objects(spark, str(tmp_path), **kwargs).collect())
 
-    assert keys(prefix="in/") == ["in/a b.csv", "in/b+c.csv", "in/note.txt"]
-    assert keys(prefix="in/", pattern=r"\.csv$", recursive=True) == ["in/a b.csv", "in/b+c.csv", "in/deep/c.csv"]
+    assert keys(prefix="in/") == ["in/.f", "in/a b.csv", "in/b+c.csv", "in/note.txt"]
+    assert keys(prefix="in/", pattern=r"\.csv$", recursive=True) == [
+        "in/a b.csv",
+        "in/b+c.csv",
+        "in/k=1/c.csv",
+        "in/k=2/_e.csv",
+    ]
     assert keys(prefix="in/b") == ["in/b+c.csv"]
-    assert keys(pattern="d", recursive=True) == ["in/deep/c.csv", "other/d.csv"]
+    assert keys(pattern="d", recursive=True) == ["other/d.csv"]
+    assert keys() == [] and keys(prefix="nowhere/") == [] and keys(prefix="in/zzz") == []
     assert list_objects(spark, str(tmp_path), prefix="in/").first().length == 1
 
 
@@ -140,6 +70,15 @@ def test_settings():
 
 
 def test_scratch_lies_in_the_shared_folder(spark):
-    named = SimpleNamespace(conf=SimpleNamespace(get=lambda key, other: {"spark.checkpoint.dir": "hdfs:///shared/"}[key]))
-    assert scratch_folder(named, "x").startswith("hdfs:///shared/x-")
-    assert scratch_folder(spark, "x") != scratch_folder(spark, "x")
+    def session(**given):
+        settings = {k.replace("_", "."): v for k, v in given.items()}
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, other=None: settings.get(key, other)))
+
+    assert scratch_folder(session(spark_checkpoint_dir="hdfs:///shared/"), "x").startswith("hdfs:///shared/x-")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_folder(session(spark_master="yarn"), "x")
+    path = scratch_folder(spark, "x")
+    assert path != scratch_folder(spark, "x")
+    spark.range(1).write.parquet(path)
+    remove_folder(spark, path)
+    assert list_objects(spark, path, recursive=True).count() == 0
