@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-import math
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, replace
 from functools import cached_property, reduce
@@ -32,15 +31,17 @@ LEVELS = ("BASIC", "SUMMARY", "COMPLETE")
 
 FUSED_SCOPES = ("column", "pair", "multi", "aggregate", "order")
 
-# Rules per pass over the table.  Much above this, the code generated for a pass
-# outgrows what the JVM compiles, and a second pass is far cheaper.
-RULES_PER_PASS = 40
+# Rules that are counted by an aggregate each.  Above this the code generated for
+# so many aggregates outgrows what the JVM compiles, and rows tell by numbers which
+# conditions they meet; either way the table is scanned once.
+AGGREGATES = 40
 
 # Helpers between two steps of the plan of offending rows.
 FLAGS, PLACE, SHOWN = "__flags", "__position", "__value"
 GOOD = -1
 
 PARTIAL_ROWS = 20
+RANK_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 COUNT_TYPES = {
     "element_count": "bigint",
@@ -116,13 +117,17 @@ def validate(
     if not isinstance(suite, Suite):
         suite = Suite("default", suite)
     now = run_time or dt.datetime.now(dt.timezone.utc)
+    partial_rows = int(options.get("partial_unexpected_count", PARTIAL_ROWS))
+    # Spark cuts ranked rows before the shuffle up to a limit of its own; a longer list has to be within it too.
+    if partial_rows > int(df.sparkSession.conf.get(RANK_LIMIT)):
+        df.sparkSession.conf.set(RANK_LIMIT, str(partial_rows))
     return Validation(
         df=df,
         suite=suite,
         checks=compile_suite(df, list(suite), now, keys, strict),
         keys=keys,
         level=_level(options.get("result_format")),
-        partial_rows=int(options.get("partial_unexpected_count", PARTIAL_ROWS)),
+        partial_rows=partial_rows,
         with_query=bool(options.get("return_unexpected_index_query", True)),
         run_id=run_id or now.strftime("%Y%m%d%H%M%S"),
         run_time=now,
@@ -191,7 +196,8 @@ class Validation:
     @cached_property
     def counts(self) -> DataFrame:
         """One row per rule: ``position`` and the columns of COUNT_TYPES."""
-        parts = [self._fused_counts(checks) for checks in _passes(self._of_scope(*FUSED_SCOPES))]
+        fused = self._of_scope(*FUSED_SCOPES)
+        parts = [self._numbered_counts(fused) if len(fused) > AGGREGATES else self._fused_counts(fused)] if fused else []
         if self._of_scope("schema", "failed") or not parts:
             parts.append(self._settled_counts())
         for check in self._of_scope("duplicates"):
@@ -282,6 +288,51 @@ class Validation:
                 return made(F.expr(f"count_if({predicate})"), predicate)
             return made(F.count_if(predicate), f"rule at {check.position}")
 
+        rows = self._count_structs(fused, count, made)
+        return base.agg(*aggregates).select(F.expr(f"inline(array({', '.join(rows)}))"))
+
+    def _numbered_counts(self, fused: list[Check]) -> DataFrame:
+        """The same for many rules: each row gives the numbers of the conditions it meets, and these are counted.
+
+        Most conditions are about rows that are not as they should be, so few
+        rows give more than one number, and what is shuffled is one count for
+        each number and task.  Statistics, of which there are few kinds, stay
+        aggregates, over the same scan's rows.
+        """
+        base, rewrite = self._with_parsed(self._base(fused), fused)
+        numbers: dict[str, int] = {"true": 0}
+        conditions: list[Column] = [F.lit(0)]
+        seen: dict[str, Column] = {}
+
+        def made(total: Column, key: str) -> str:
+            seen.setdefault(key, total)
+            return f"s{list(seen).index(key)}"
+
+        def count(predicate: Predicate | None, check: Check) -> str:
+            predicate = rewrite(predicate)
+            key = "true" if predicate is None else predicate if isinstance(predicate, str) else f"rule {check.position}"
+            if key not in numbers:
+                numbers[key] = len(numbers)
+                conditions.append(F.when(as_column(predicate), numbers[key]).otherwise(GOOD))
+            return f"coalesce(met[{numbers[key]}], 0L)"
+
+        rows = self._count_structs(fused, count, made)
+        statistics = [total.alias(f"s{i}") for i, total in enumerate(seen.values())]
+        if statistics:
+            # The numbers and the statistics come from one scan: the statistics are worked out per number, for
+            # the number that every row gives.
+            kept = base.withColumn(FLAGS, F.array(*conditions))
+            numbered = kept.select("*", F.expr(f"explode(array_remove({FLAGS}, {GOOD}))").alias(PLACE))
+            grouped = numbered.groupBy(PLACE).agg(F.count(F.lit(1)).alias("n"), *statistics)
+        else:
+            numbered = base.select(F.explode(F.array_remove(F.array(*conditions), GOOD)).alias(PLACE))
+            grouped = numbered.groupBy(PLACE).agg(F.count(F.lit(1)).alias("n"))
+        first = [F.max(F.when(F.col(PLACE) == 0, F.col(f"s{i}"))).alias(f"s{i}") for i in range(len(statistics))]
+        met = F.map_from_entries(F.collect_list(F.struct(PLACE, "n"))).alias("met")
+        return grouped.agg(met, *first).select(F.expr(f"inline(array({', '.join(rows)}))"))
+
+    def _count_structs(self, fused: list[Check], count: Callable, made: Callable) -> list[str]:
+        """A struct of counts for each rule, as SQL over what ``count`` and ``made`` name."""
         rows = []
         for check in fused:
             values: dict[str, str] = {}
@@ -304,7 +355,7 @@ class Validation:
                     if check.kind.observe_ratio:
                         values["observed_value"] = f"1 - {bad} / nullif({values['element_count']}, 0)"
             rows.append(_count_struct(check, values))
-        return base.agg(*aggregates).select(F.expr(f"inline(array({', '.join(rows)}))"))
+        return rows
 
     # -- graded results ----------------------------------------------------
 
@@ -419,7 +470,7 @@ class Validation:
         """``position``, ``value`` and the keys of every listed row."""
         quoted = [F.col(ident(k)).alias(k) for k in self.keys]
         parts = []
-        for fused in _passes(self._of_scope("column", "pair", "multi")):
+        if fused := self._of_scope("column", "pair", "multi"):
             hit = self._fused_rows(fused)
             parts.append(hit.select(F.col(PLACE).alias("position"), F.col(SHOWN).alias("value"), *quoted))
         for check in self._of_scope("duplicates"):
@@ -553,18 +604,6 @@ def fill_for_display(violations: DataFrame, filler: str = "nan") -> DataFrame:
     return violations.fillna(filler)
 
 
-def _passes(checks: list[Check]) -> list[list[Check]]:
-    """Split many rules into passes, keeping those on the same columns together.
-
-    Each pass then reads few columns that another one reads too.
-    """
-    if len(checks) > RULES_PER_PASS:
-        checks = sorted(checks, key=lambda c: (c.rule.columns, c.position))
-    passes = math.ceil(len(checks) / RULES_PER_PASS)
-    size = math.ceil(len(checks) / passes) if passes else 1
-    return [checks[i : i + size] for i in range(0, len(checks), size)]
-
-
 def _texts(values: Mapping) -> dict[str, str | None]:
     def text(value):
         if value is None or isinstance(value, str):

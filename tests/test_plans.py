@@ -7,7 +7,6 @@ import re
 import pytest
 
 from assayer import Rule, validate
-from assayer.plans.validate import RULES_PER_PASS
 from assayer.sources import read_as_of, read_results, write_results, write_snapshot
 
 TABLES = "/root/testdata/sf0.001"
@@ -107,14 +106,53 @@ def test_order_rule_sorts_ranges_and_reuses_its_shuffle(spark):
     assert "ReusedExchange" in final
 
 
-def test_many_rules_are_split(lines):
-    rules = [between(c, rule_id=f"{c} {i}") for i in range(RULES_PER_PASS) for c in ("l_tax", "l_quantity")]
-    outcome = validate(lines, rules, keys=["l_orderkey"])
-    text = plan(outcome.graded)
-    assert tree(outcome.graded).count("Scan parquet") == 2
-    # Rules on the same column go together, so no pass reads the other's column.
-    assert sorted(re.findall(r"ReadSchema: struct<(.*)>", text)) == ["l_quantity:double", "l_tax:double"]
-    assert outcome.graded.count() == len(rules)
+def many_rules(n):
+    names = ("l_tax", "l_quantity", "l_discount", "l_linenumber", "l_extendedprice")
+    rules = [
+        Rule.of(
+            "expect_column_values_to_be_between",
+            column=names[i % 5],
+            min_value=i / 50,
+            max_value=1000 * i,
+            row_condition="l_quantity > 30" if i % 3 == 0 else None,
+            rule_id=f"r{i}",
+        )
+        for i in range(n)
+    ]
+    return [*rules, Rule.of("expect_column_mean_to_be_between", column="l_tax", min_value=0, max_value=0.01)]
+
+
+def test_any_number_of_rules_is_one_scan(lines):
+    outcome = validate(lines, many_rules(200), keys=["l_orderkey"])
+    assert tree(outcome.graded).count("Scan parquet") == 1
+    assert tree(outcome.violations).count("Scan parquet") == 1
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_many_rules_count_as_few_do(lines, monkeypatch, empty):
+    lines = lines.limit(0) if empty else lines
+    columns = ["position", "element_count", "missing_count", "unexpected_count", "listed_count", "passed"]
+
+    def counts():
+        outcome = validate(lines, many_rules(45))
+        rows = outcome.counts.select(*columns).collect()
+        return sorted(map(tuple, rows)), outcome.graded.filter("position = 45").first().observed_value
+
+    many = counts()
+    monkeypatch.setattr("assayer.plans.validate.AGGREGATES", 1000)
+    few = counts()
+    assert many[0] == few[0] and many[1] == (few[1] if empty else pytest.approx(few[1]))
+
+
+def test_long_partial_lists_are_cut_before_the_shuffle(spark, lines):
+    limit = "spark.sql.optimizer.windowGroupLimitThreshold"
+    before = spark.conf.get(limit)
+    try:
+        options = {"result_format": "COMPLETE", "partial_unexpected_count": 2000}
+        outcome = validate(lines, ROW_RULES, keys=["l_orderkey"], result_format=options)
+        assert tree(outcome.results).count("WindowGroupLimit") == 4
+    finally:
+        spark.conf.set(limit, before)
 
 
 def test_snapshots_and_runs_are_partition_filters(spark, lines, tmp_path):
