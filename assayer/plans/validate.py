@@ -362,26 +362,25 @@ class Validation:
     @cached_property
     def _about(self) -> Column:
         """What is known of each rule before any row is read, as one literal."""
-        items = []
+        # A place for each position; some have no check while failing rules are searched for.
+        items = [{}] * (1 + max((c.position for c in self.checks), default=-1))
         for check in self.checks:
             level = _level(check.kwargs["result_format"]) if check.kwargs.get("result_format") else self.level
-            items.append(
-                {
-                    "rule_id": check.rule.rule_id,
-                    "rule": check.group,
-                    "expectation_type": check.rule.expectation_type,
-                    "column": check.column_label,
-                    "column_list": list(check.rule.columns),
-                    "kwargs": _texts(check.rule.kwargs),
-                    "meta": _texts(check.rule.meta),
-                    "mostly": check.mostly if check.error is None else 1.0,
-                    "percent": check.kind.percent if check.kind else "percent",
-                    "level": level,
-                    "unexpected_index_query": check.query if self.with_query else None,
-                    "exception_message": check.error,
-                    "exception_traceback": check.trace,
-                }
-            )
+            items[check.position] = {
+                "rule_id": check.rule.rule_id,
+                "rule": check.group,
+                "expectation_type": check.rule.expectation_type,
+                "column": check.column_label,
+                "column_list": list(check.rule.columns),
+                "kwargs": _texts(check.rule.kwargs),
+                "meta": _texts(check.rule.meta),
+                "mostly": check.mostly if check.error is None else 1.0,
+                "percent": check.kind.percent if check.kind else "percent",
+                "level": level,
+                "unexpected_index_query": check.query if self.with_query else None,
+                "exception_message": check.error,
+                "exception_traceback": check.trace,
+            }
         listing = F.from_json(F.lit(json.dumps(items, ensure_ascii=False)), ABOUT_SCHEMA)
         return F.element_at(listing, F.col("position") + 1)
 

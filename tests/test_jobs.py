@@ -2,9 +2,11 @@ import importlib.util
 import json
 import os
 
+import pytest
 from conftest import ROOT
 
-from assayer.sources import read_results, write_csv
+from assayer import Rule, Suite, run_validation
+from assayer.sources import read_results, read_violations, write_csv
 
 
 def test_validate_csv(spark, tmp_path):
@@ -12,27 +14,58 @@ def test_validate_csv(spark, tmp_path):
     job = importlib.util.module_from_spec(spec)
     spec.loader.exec_module(job)
 
-    rows = [(1, "2024-09-07", 0.1), (2, "2024-09-06", 0.3), (3, None, 0.5)]
-    write_csv(spark.createDataFrame(rows, "order_id int, order_date string, discount double"), str(tmp_path / "in"))
+    rows = [(1, "2021-03-17", 0.4), (2, "2021-03-02", 0.6), (3, None, 0.8)]
+    rows += [(i, "2020-01-01", 0.5) for i in range(100, 140)]
+    write_csv(spark.createDataFrame(rows, "visit int, arrival string, rebate double"), str(tmp_path / "in"))
     config = [
         {
             "expectation_type": "expect_column_values_to_meet_date_condition",
-            "kwargs": {"column": "order_date", "date": {"$PARAMETER": "since"}, "operator": ">="},
+            "kwargs": {"column": "arrival", "date": {"$PARAMETER": "since"}, "operator": ">="},
             "meta": {"Rule": "R0001"},
         },
         {
             "expectation_type": "expect_column_values_to_be_between",
-            "kwargs": {"column": "discount", "min_value": 0.05},
+            "kwargs": {"column": "rebate", "min_value": 0.3},
             "meta": {"Rule": "R0002"},
         },
     ]
     (tmp_path / "rules.json").write_text(json.dumps(config))
-    common = ["--input", str(tmp_path / "in"), "--output", str(tmp_path / "out"), "--keys", "order_id"]
+    common = ["--input", str(tmp_path / "in"), "--output", str(tmp_path / "out"), "--keys", "visit"]
     common += ["--config", str(tmp_path / "rules.json"), "--violations", str(tmp_path / "bad")]
-    assert job.main([*common, "--run-id", "a", "--param", "since=2024-09-07"]) is False
-    assert job.main([*common, "--run-id", "b", "--param", "since=2024-01-01"]) is True
+    assert job.main([*common, "--run-id", "a", "--param", "since=2021-03-10"]) is False
+    assert job.main([*common, "--run-id", "b", "--param", "since=2019-01-01"]) is True
     stored = read_results(spark, str(tmp_path / "out"), "a").orderBy("position").collect()
-    assert [(r.success, r.unexpected_count) for r in stored] == [(False, 1), (True, 0)]
-    assert stored[0].partial_unexpected_index_list == [{"order_id": "2"}]
-    bad = spark.read.parquet(str(tmp_path / "bad")).collect()
-    assert [(r.order_id, r.value, r.rule, r.run_id) for r in bad] == [(2, "2024-09-06", "R0001", "a")]
+    assert [(r.success, r.unexpected_count) for r in stored] == [(False, 41), (True, 0)]
+    assert stored[0].partial_unexpected_index_list[0] == {"visit": "2"}
+    # Every offending row is stored, not only those of the bounded list.
+    bad = read_violations(spark, str(tmp_path / "bad"), "a").collect()
+    assert sorted(r.visit for r in bad) == [2, *range(100, 140)]
+    assert {(r.value, r.rule) for r in bad if r.visit == 2} == {("2021-03-02", "R0001")}
+
+
+def test_a_rule_that_fails_on_the_data_fails_alone(spark):
+    df = spark.createDataFrame([(1, "3"), (2, "x")], "i int, t string")
+    rules = [
+        Rule.of("expect_column_values_to_not_be_null", column="t", rule_id="good"),
+        Rule.of("expect_column_values_to_not_be_null", column="i", row_condition="10 / (i - 1) > 1", rule_id="bad"),
+        Rule.of("expect_column_values_to_be_between", column="i", min_value=2, rule_id="other"),
+    ]
+    stored, rows = [], []
+    run_validation(
+        spark,
+        lambda session: df,
+        Suite("mixed", rules),
+        lambda results: stored.extend(results.collect()),
+        write_rows=lambda violations: rows.extend(violations.collect()),
+        keys=["i"],
+        result_format="COMPLETE",
+    )
+    found = {r.rule_id: (r.success, r.raised_exception) for r in stored}
+    assert found == {"good": (True, False), "bad": (False, True), "other": (False, False)}
+    assert [(r.rule_id, r.i) for r in rows] == [("other", 1)]
+    with pytest.raises(RuntimeError, match="the writer"):
+        run_validation(spark, lambda session: df, Suite("good", rules[:1]), _broken)
+
+
+def _broken(results):
+    raise RuntimeError("the writer")
