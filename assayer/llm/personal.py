@@ -399,8 +399,10 @@ def listed(spans: list[Span]) -> str:
 def fit(docs: DataFrame) -> dict[str, np.ndarray] | None:
     """A network from a bounded sample of texts with a digit or an @, first in the order of a hash; None if there are none."""
     given = docs.filter((F.length("text") <= SAMPLE_CHARS) & F.col("text").rlike("[0-9@]"))
-    rows = given.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(SAMPLE).collect()
-    x, y = training_windows(sorted({r.text for r in rows}))
+    # The ids come first: each task sends that many of them, and the texts are fetched for the few that were chosen.
+    ids = given.select(F.col("doc_id").alias("_id")).orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE).distinct()
+    rows = given.join(F.broadcast(ids), F.col("doc_id").eqNullSafe(F.col("_id"))).select("text").limit(4 * SAMPLE)
+    x, y = training_windows(sorted({r.text for r in rows.collect()}))
     return train(x, y) if y.any() else None
 
 
