@@ -11,14 +11,13 @@ from assayer.sources import (
     read_as_of,
     read_csv,
     read_csv_text,
-    scratch_folder,
     snapshot_log,
     write_csv,
     write_snapshot,
 )
 
 from .suites import query as _query
-from .tables import given, table, table_sql
+from .tables import given, scratch, table, table_sql
 from . import suites
 
 QUERIES = suites.QUERIES
@@ -43,7 +42,7 @@ def _summary(orders: DataFrame) -> DataFrame:
 
 
 def _orders_csv(spark: SparkSession, sf_dir: str) -> str:
-    path = scratch_folder(spark, "orders-csv")
+    path = scratch(spark, "orders-csv")
     orders = table(spark, sf_dir, "dirty_orders").select("o_orderkey", "status", "price", "order_date")
     write_csv(orders, path)
     return path
@@ -70,7 +69,7 @@ def src_csv_string(spark: SparkSession, sf_dir: str) -> DataFrame:
     "select doc_id, lang, length(text) as chars, md5(text) as digest from documents",
 )
 def src_csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_folder(spark, "documents-csv")
+    path = scratch(spark, "documents-csv")
     write_csv(given(spark, sf_dir, "documents").select("doc_id", "text", "lang"), path)
     documents = read_csv(spark, path, "doc_id bigint, text string, lang string", multi_line=True)
     return documents.select(
@@ -86,7 +85,7 @@ def sink_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("list_objects", "select distinct 'parts/o_orderstatus=' || o_orderstatus as folder, true as filled from orders")
 def list_stored_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_folder(spark, "objects")
+    root = scratch(spark, "objects")
     given(spark, sf_dir, "orders").write.partitionBy("o_orderstatus").parquet(f"{root}/parts")
     found = list_objects(spark, root, prefix="parts/o_order", pattern=r"part-.*\.parquet$", recursive=True)
     folder = F.regexp_extract("key", "^(.*)/[^/]*$", 1).alias("folder")
@@ -95,7 +94,7 @@ def list_stored_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _mixed_objects(spark: SparkSession, sf_dir: str) -> str:
     """A folder with files of its own, partition folders, and names that begin with _ and dot."""
-    root = scratch_folder(spark, "objects")
+    root = scratch(spark, "objects")
     nations = given(spark, sf_dir, "nation").select("n_regionkey", F.col("n_name").alias("value"))
     nations.write.partitionBy("n_regionkey").text(f"{root}/in")
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
@@ -133,7 +132,7 @@ STATES = f"select o_orderstatus, {STATE} from orders"
 def _orders_in_three(spark: SparkSession, sf_dir: str) -> str:
     """All orders, dealt by key to snapshots 1 to 3."""
     orders = given(spark, sf_dir, "orders").select(*STORED)
-    path = scratch_folder(spark, "snapshots")
+    path = scratch(spark, "snapshots")
     for part in range(3):
         write_snapshot(orders.filter(f"{PART} = {part}"), path, part + 1)
     return path
@@ -186,7 +185,7 @@ def snap_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def snap_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Create or replace: other rows and columns under a new path; the old dataset stays readable."""
-    before, after = _orders_in_three(spark, sf_dir), scratch_folder(spark, "snapshots")
+    before, after = _orders_in_three(spark, sf_dir), scratch(spark, "snapshots")
     write_snapshot(given(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), after, 1)
 
     def size(state: str, rows: DataFrame, column: str) -> DataFrame:
@@ -213,7 +212,7 @@ select 'before', o_orderstatus, {STATE} from orders group by o_orderstatus""",
 )
 def snap_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An update, as plain Parquet has it: all rows written anew with the change; the old dataset stays readable."""
-    before, after = _orders_in_three(spark, sf_dir), scratch_folder(spark, "snapshots")
+    before, after = _orders_in_three(spark, sf_dir), scratch(spark, "snapshots")
     pending = F.col("o_orderstatus") == "P"
     changed = read_as_of(spark, before).withColumns(
         {

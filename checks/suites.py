@@ -12,7 +12,6 @@ from assayer.sources import (
     read_csv,
     read_results,
     read_violations,
-    scratch_folder,
     stored_report,
     write_csv,
     write_results,
@@ -21,7 +20,7 @@ from assayer.sources import (
 
 from .oracle import day, row_result, union
 from .rules import verdicts
-from .tables import table, table_sql
+from .tables import scratch, table, table_sql
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -427,14 +426,14 @@ def suite_params(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("suite_roundtrip", RESULTS_SQL)
 def suite_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_folder(spark, "suite")
+    path = scratch(spark, "suite")
     Suite("grouped", grouped_rules()).save(spark, path)
     return short(validate(table(spark, sf_dir, "dirty_orders"), Suite.load(spark, path, "grouped")).graded)
 
 
 def _stored_runs(spark: SparkSession, sf_dir: str) -> str:
     """Two runs in one results dataset: all orders, then those with a price."""
-    path = scratch_folder(spark, "results")
+    path = scratch(spark, "results")
     write_results(grouped(spark, sf_dir, run_id="first", run_time=FIRST_RUN).results, path)
     priced = table(spark, sf_dir, "dirty_orders").filter("price is not null")
     again = validate(priced, Suite("grouped", grouped_rules()), keys=KEYS, run_id="second", run_time=SECOND_RUN)
@@ -447,7 +446,7 @@ PRICED_SQL = RESULTS_SQL.replace(f"from {ORDERS} t", f"from (select * from {ORDE
 
 @query("sink_result_json", f"select 'first' as run_id, * from ({RESULTS_SQL}) a")
 def sink_result_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_folder(spark, "results")
+    path = scratch(spark, "results")
     write_results(grouped(spark, sf_dir, run_id="first", run_time=FIRST_RUN, result_format="COMPLETE").results, path)
     stored = read_results(spark, path)
     return short(stored, F.col("run_id"))
@@ -466,7 +465,7 @@ def latest_result(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("validate_job", config_sql("1996-01-01"))
 def validate_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load a CSV, validate it by a config with parameters, write the results, read them back."""
-    source, target = scratch_folder(spark, "orders"), scratch_folder(spark, "results")
+    source, target = scratch(spark, "orders"), scratch(spark, "results")
     write_csv(table(spark, sf_dir, "dirty_orders").select("o_orderkey", "status", "order_date"), source)
     run_validation(
         spark,
@@ -487,7 +486,7 @@ def validate_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _complete_run(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(results, offending rows) of a complete run, as read back from storage."""
-    target, rows = scratch_folder(spark, "results"), scratch_folder(spark, "violations")
+    target, rows = scratch(spark, "results"), scratch(spark, "violations")
     run_validation(
         spark,
         lambda session: table(session, sf_dir, "dirty_orders"),

@@ -6,8 +6,13 @@ put in by key; every row is kept.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+
 from pyspark.sql import DataFrame, SparkSession
 
+from assayer.sources import remove_folder, scratch_folder
+
 DAY = "cast(cast({} as date) as string)"
 ORDER_DAY = DAY.format("o_orderdate")
 SHIP_DAY = DAY.format("l_shipdate")
@@ -97,6 +102,18 @@ TABLES: dict[str, tuple[str, list[str]]] = {
 }
 
 
+def scratch(spark: SparkSession, purpose: str) -> str:
+    """A new shared folder for a query's files; results are read lazily, so it goes when the application ends."""
+    path = scratch_folder(spark, purpose)
+
+    def remove() -> None:
+        with contextlib.suppress(Exception):  # a stopped session has no file system to ask
+            remove_folder(spark, path)
+
+    atexit.register(remove)
+    return path
+
+
 def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
