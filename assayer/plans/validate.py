@@ -244,7 +244,10 @@ class Validation:
         for field in {f for c in checks for f in c.fields if f.is_text}:
             for text in (as_date(field), as_double(field)):
                 if sum(p.count(text) for p in predicates) > 1:
-                    parsed[text] = f"__parsed_{len(parsed)}"
+                    name = f"__parsed_{len(parsed)}"
+                    while name in base.columns:
+                        name = f"_{name}"
+                    parsed[text] = name
 
         def rewrite(predicate: Predicate | None) -> Predicate | None:
             if isinstance(predicate, str):

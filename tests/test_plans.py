@@ -155,6 +155,18 @@ def test_long_partial_lists_are_cut_before_the_shuffle(spark, lines):
         spark.conf.set(limit, before)
 
 
+def final_scans(df) -> int:
+    """Scans that really run, once adaptive execution has reused what is the same."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("FileScan")
+
+
+def test_report_and_repeated_rows_scan_twice(lines):
+    assert final_scans(validate(lines, ROW_RULES, keys=["l_orderkey"]).report()) == 2
+    rule = Rule.of("expect_column_values_to_be_unique", column="l_partkey")
+    assert final_scans(validate(lines, [rule], keys=["l_orderkey"]).violations) <= 2
+
+
 def test_snapshots_and_runs_are_partition_filters(spark, lines, tmp_path):
     path = str(tmp_path / "lines")
     for snapshot in (1, 2):
