@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from assayer.operators.joins import lookup_join
+
 from .shared import cut, order_key, running_before
 
 SHARDS = 16
@@ -34,7 +36,7 @@ def described(docs: DataFrame) -> DataFrame:
     )
     rows = cut(rows)
     several = rows.groupBy("text").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    found = rows.join(several.select(F.col("text").alias("group")), F.col("text") == F.col("group"), "left")
+    found = lookup_join(rows, several.select(F.col("text").alias("group")), "text", "group", "left")
     return found.select("doc_id", "size", "crc", "group", "key")
 
 
@@ -83,7 +85,7 @@ def propagate(state: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> D
     for _ in range(rounds):
         # Free documents don't take part in the join: without a group they would all meet in one task.
         linked = state.filter("group is not null")
-        voted = linked.join(_votes(linked, closed, shards), F.col("group") == F.col("voter"), "left").drop("voter")
+        voted = lookup_join(linked, _votes(linked, closed, shards), "group", "voter", "left").drop("voter")
         voted = voted.unionByName(state.filter("group is null").withColumn("goal", F.lit(None).cast("int")))
         stays = F.col("goal").isNull() | F.col("shard").isin(closed) | (F.col("goal") == F.col("shard"))
         voted = cut(voted.withColumn("goal", F.when(~stays, F.col("goal"))))
