@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from assayer.operators.joins import lookup_join
+
 from .shared import cut
 
 
@@ -12,7 +14,7 @@ def _largest_star(edges: DataFrame) -> DataFrame:
     """Hang the larger neighbours of each node on its smallest neighbour."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m"))
-    found = both.filter("b > a").join(least, F.col("a") == F.col("n"))
+    found = lookup_join(both.filter("b > a"), least, "a", "n")
     return found.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").distinct()
 
 
@@ -20,7 +22,7 @@ def _smallest_star(edges: DataFrame) -> DataFrame:
     """Hang each node and its smaller neighbours on the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "n")
-    found = down.join(least, F.col("a") == F.col("n"))
+    found = lookup_join(down, least, "a", "n")
     moved = found.filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select(F.col("n").alias("a"), F.col("m").alias("b"))).filter("a != b").distinct()
 
