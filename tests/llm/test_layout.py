@@ -212,6 +212,9 @@ def test_names_and_marks_set_aside():
     )
     assert wrappers.extract(text) == "T <x> one two three a b"
     assert wrappers.extract("<div hidden>no</div>yes<br>1 < 2") == "yes 1 < 2"
+    shell = "<div class='page has-sidebar'><div class=menu>m</div><article class='post comments-open'>{}</article></div>"
+    inner = "<p>one</p><div class=sidebar>s</div><article class=comment>c</article>"
+    assert wrappers.extract(shell.format(inner)) == "one"
 
 
 def test_broken_pages_take_no_long_time():
