@@ -1,12 +1,14 @@
 """SimHash, cover trees and components against brute force."""
 
 import random
+import re
 
 import numpy as np
 import pytest
 from fixtures import SMALL, connected, empty_like, odd_documents, pandas
 
-from assayer.llm import covertree, simhash
+import corpus_pipeline
+from assayer.llm import covertree, resemblance, simhash
 from assayer.llm.components import components
 
 
@@ -142,3 +144,67 @@ def test_cover_tree_repeated_rows_and_empty_table(spark):
         (1, 2, 1),
     ]
     assert covertree.near_copies(df.limit(0)).count() == 0
+
+
+def brute_shingles(text):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = [w for w in re.split("[ \t\n\r\x0b\f]+", low) if w]
+    return {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, min(1, len(words))))}
+
+
+def brute_kept(rows):
+    """The ids left of (id, text): the smallest of each group of texts whose shingles resemble each other by 0.8."""
+    sets = {i: brute_shingles(t) for i, t in rows}
+    links = []
+    for a in sets:
+        for b in sets:
+            both = len(sets[a] & sets[b])
+            if a < b and (sets[a] == sets[b] or both and 10 * both >= 8 * (len(sets[a]) + len(sets[b]) - both)):
+                links.append((a, b))
+    return {i for i, c in connected(sets, links).items() if i == c}
+
+
+@pytest.mark.parametrize("group,small,sample", [(1024, 8, 2000), (8, 2, 20)])
+def test_pipeline_near_copies_against_all_pairs(spark, monkeypatch, group, small, sample):
+    """The given documents, edited copies around the limit, a chain, a large group, a passage in many texts."""
+    monkeypatch.setattr(resemblance, "GROUP", group)
+    monkeypatch.setattr(resemblance, "SMALL", small)
+    monkeypatch.setattr(resemblance, "SAMPLE", sample)
+    draw = random.Random(8)
+
+    def text(n):
+        return [f"w{draw.randrange(5000)}" for _ in range(n)]
+
+    def edited(words, n):
+        words = list(words)
+        for _ in range(n):
+            words[draw.randrange(len(words))] = f"e{draw.randrange(10**6)}"
+        return words
+
+    given = pandas("documents")
+    rows = [(int(i), t) for i, t in zip(given.doc_id, given.text)]
+    made, base, chain, passage = [], text(120), text(100), text(40)
+    for _ in range(30):
+        one = text(draw.choice([4, 6, 10, 40, 200]))
+        made += [one, edited(one, draw.randrange(6))]
+    made += [edited(base, draw.randrange(3)) for _ in range(60)]
+    for _ in range(40):
+        chain = edited(chain, 2)
+        made.append(chain)
+    made += [passage + text(draw.choice([3, 30])) for _ in range(60)]
+    made += [[], ["one"], ["ONE"], ["one", "two"]]
+    rows += [(100_000 + k, " ".join(words)) for k, words in enumerate(made)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = corpus_pipeline.near_copies(spark, df, SMALL)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(brute_kept(rows))
+
+
+def test_sketches_never_hide_a_link():
+    draw = np.random.default_rng(9)
+    for size in (1, 5, 40, 700, 3000):
+        for _ in range(50):
+            one = np.unique(draw.integers(-(2**63), 2**63 - 1, size))
+            two = np.unique(np.r_[one[draw.random(len(one)) > 0.1], draw.integers(-(2**63), 2**63 - 1, size // 10)])
+            packed = [len(x).to_bytes(8, "little") + resemblance.sketch(x).tobytes() for x in (one, two) if len(x)]
+            if len(packed) == 2 and resemblance._links(one.tobytes(), two.tobytes()):
+                assert resemblance._may(*packed)
