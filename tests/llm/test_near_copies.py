@@ -199,6 +199,14 @@ def test_pipeline_near_copies_against_all_pairs(spark, monkeypatch, group, small
     assert sorted(r.doc_id for r in kept.collect()) == sorted(brute_kept(rows))
 
 
+def test_pipeline_near_copies_go_by_text_not_by_id(spark):
+    one, two, three = ("a b c d e f", "g h i j k l m", "n o p q r s t u")
+    rows = [(1, one), (1, two), (1, two), (2, two), (None, one), (None, three), (None, three), (None, None), (3, " \n")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = corpus_pipeline.near_copies(spark, df, SMALL).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == [(0, three), (1, one), (1, two), (3, " \n")]
+
+
 def test_sketches_never_hide_a_link():
     draw = np.random.default_rng(9)
     for size in (1, 5, 40, 700, 3000):
