@@ -138,17 +138,25 @@ def groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The document with the smallest id of each group, with all its columns.
+    """One row of each group, with all its columns: the one with the smallest id.
 
-    Documents without an id are kept as they are; of repeated rows with one
-    id, one is kept.
+    Groups are of rows, not of ids: rows of one id whose texts are not linked
+    stay apart, and a row without an id is kept only where its group has no
+    id.  Rows that tie in their id are told apart by a digest of the whole
+    row; of rows that are equal in all columns one is kept.
     """
-    found = groups(docs.select("doc_id", "text"))
-    chosen = found.filter("id = component").select(F.col("id").alias("_kept")).distinct()
-    one = docs.join(chosen, docs["doc_id"] == F.col("_kept"), "left_semi")
-    packed = one.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    first = packed.groupBy(F.col("_row.doc_id").alias("_id")).agg(F.min("_row").alias("_row"))
-    return first.select("_row.*").union(docs.filter("doc_id is null"))
+    whole = F.to_json(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]))
+    digest = F.unhex(F.sha2(whole, 256))
+    name = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc"), digest.alias("digest"))
+    found = groups(docs.select(name.alias("name"), "text"), "name", "text")
+    first = found.filter("id = component").groupBy(F.col("id.digest").alias("_kept")).agg(F.count(F.lit(1)).alias("n"))
+    first = cut(first)
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), digest.alias("_digest"))
+    same = F.col("_digest") == F.col("_kept")
+    once = packed.join(first.filter("n = 1"), same, "left_semi").select("_row")
+    # Equal rows are combined before they are shuffled, so that a row copied very often is no burden.
+    equal = packed.join(first.filter("n > 1"), same, "left_semi").groupBy("_digest").agg(F.any_value("_row").alias("_row"))
+    return once.union(equal.select("_row")).select("_row.*")
 
 
 def hexadecimal(fp: Column) -> Column:

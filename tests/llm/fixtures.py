@@ -58,3 +58,17 @@ def connected(nodes, edges):
         a, b = root(a), root(b)
         parent[max(a, b)] = min(a, b)
     return {n: root(n) for n in nodes}
+
+
+def brute_fingerprint(text):
+    import xxhash
+
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    for space in "\t\n\x0b\x0c\r":
+        low = low.replace(space, " ")
+    words = [w for w in low.split(" ") if w]
+    if not words:
+        return 0
+    parts = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or [" ".join(words)]
+    hashes = [xxhash.xxh64_intdigest(p.encode(), 42) for p in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))

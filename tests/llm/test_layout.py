@@ -10,10 +10,10 @@ import zlib
 from collections import Counter
 
 import pytest
-from fixtures import MEDIUM, SMALL, empty_like, odd_documents, pandas
+from fixtures import MEDIUM, SMALL, brute_fingerprint, connected, empty_like, odd_documents, pandas
 
 import corpus_pipeline
-from assayer.llm import sharding, simhash, warc, wrappers
+from assayer.llm import sharding, warc, wrappers
 from assayer.sources import scratch_folder
 
 # ---- sharding
@@ -240,14 +240,17 @@ def test_stages_return_documents(spark):
 def test_pipeline_against_its_stages(spark):
     rows = corpus_pipeline.run(spark, SMALL).collect()
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
-    good = {r.doc_id for r in corpus_pipeline.good_quality(spark, docs, SMALL).collect()}
-    kept = docs.filter(docs.doc_id.isin(sorted(good)))
-    groups = {r.id: r.component for r in simhash.groups(kept).collect()}
-    left = {i for i, c in groups.items() if i == c}
+    text = dict(zip(pandas("documents").doc_id, pandas("documents").text))
+    good = sorted(r.doc_id for r in corpus_pipeline.good_quality(spark, docs, SMALL).collect())
+    codes = {i: brute_fingerprint(text[i]) for i in good}
+    links = [(a, b) for a in good for b in good if a < b and bin(codes[a] ^ codes[b]).count("1") <= 3]
+    left = {i for i, c in connected(good, links).items() if i == c}
+    kept = docs.filter(docs.doc_id.isin(good))
+    assert {r.doc_id for r in corpus_pipeline.near_copies(spark, kept, SMALL).collect()} == left
     items = pandas("benchmark")
     bench = {w for t in items.text for w in corpus_pipeline.decontaminate.windows(corpus_pipeline.decontaminate.words(t))}
-    text = dict(zip(pandas("documents").doc_id, pandas("documents").text))
     joined = {i: b" " + b" ".join(corpus_pipeline.decontaminate.words(text[i])) + b" " for i in left}
     clean = {i for i in left if not any(b" " + w + b" " in joined[i] for w in bench)}
-    assert {r.doc_id for r in rows} <= clean and len(rows) > 0
+    mixture = corpus_pipeline.mixture(spark, docs.filter(docs.doc_id.isin([int(i) for i in clean])), SMALL)
+    assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in mixture.collect()) and len(rows) > 0
     check_rows_law(rows, 16)

@@ -1,31 +1,17 @@
 """SimHash, cover trees and components against brute force."""
 
 import random
-import re
 
 import numpy as np
 import pytest
-from fixtures import SMALL, connected, empty_like, odd_documents, pandas
+from fixtures import SMALL, brute_fingerprint, connected, empty_like, odd_documents, pandas
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from assayer.llm import covertree, resemblance, simhash
+from assayer.llm import covertree, simhash
 from assayer.llm.components import components
 
 
-def brute_fingerprint(text):
-    import xxhash
-
-    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
-    for space in "\t\n\x0b\x0c\r":
-        low = low.replace(space, " ")
-    words = [w for w in low.split(" ") if w]
-    if not words:
-        return 0
-    parts = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or [" ".join(words)]
-    hashes = [xxhash.xxh64_intdigest(p.encode(), 42) for p in parts]
-    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
-
-
 def test_components(spark):
     random.seed(3)
     edges = [(random.randrange(300), random.randrange(300)) for _ in range(170)] + [(i, i + 1) for i in range(400, 480)]
@@ -81,6 +67,7 @@ def test_simhash_odd_rows(spark):
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [1, 3, 6, 8, 9]
+    assert [r.text for r in kept.collect() if r.doc_id is None] == ["a text without an id"]
     assert simhash.keep_one(empty_like(docs)).count() == 0
 
 
@@ -146,73 +133,39 @@ def test_cover_tree_repeated_rows_and_empty_table(spark):
     assert covertree.near_copies(df.limit(0)).count() == 0
 
 
-def brute_shingles(text):
-    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
-    words = [w for w in re.split("[ \t\n\r\x0b\f]+", low) if w]
-    return {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, min(1, len(words))))}
-
-
 def brute_kept(rows):
-    """The ids left of (id, text): the smallest of each group of texts whose shingles resemble each other by 0.8."""
-    sets = {i: brute_shingles(t) for i, t in rows}
-    links = []
-    for a in sets:
-        for b in sets:
-            both = len(sets[a] & sets[b])
-            if a < b and (sets[a] == sets[b] or both and 10 * both >= 8 * (len(sets[a]) + len(sets[b]) - both)):
-                links.append((a, b))
-    return {i for i, c in connected(sets, links).items() if i == c}
-
-
-@pytest.mark.parametrize("group,small,sample", [(1024, 8, 2000), (8, 2, 20)])
-def test_pipeline_near_copies_against_all_pairs(spark, monkeypatch, group, small, sample):
-    """The given documents, edited copies around the limit, a chain, a large group, a passage in many texts."""
-    monkeypatch.setattr(resemblance, "GROUP", group)
-    monkeypatch.setattr(resemblance, "SMALL", small)
-    monkeypatch.setattr(resemblance, "SAMPLE", sample)
-    draw = random.Random(8)
-
-    def text(n):
-        return [f"w{draw.randrange(5000)}" for _ in range(n)]
+    """The rows left of (id, text): of each group of linked fingerprints the row with the smallest id, the least text."""
+    found = {k: brute_fingerprint(t) for k, (_, t) in enumerate(rows)}
+    links = [(a, b) for a in found for b in found if a < b and bin(found[a] ^ found[b]).count("1") <= 3]
+    groups = {}
+    for k, c in connected(found, links).items():
+        groups.setdefault(c, []).append(k)
+    return [min((rows[k][0] is None, rows[k][0] or 0) for k in ks) for ks in groups.values()]
 
-    def edited(words, n):
-        words = list(words)
-        for _ in range(n):
-            words[draw.randrange(len(words))] = f"e{draw.randrange(10**6)}"
-        return words
 
+def test_pipeline_near_copies_against_all_pairs(spark):
+    """The given documents with edited copies, a chain of edits, many equal rows."""
+    draw = random.Random(8)
     given = pandas("documents")
     rows = [(int(i), t) for i, t in zip(given.doc_id, given.text)]
-    made, base, chain, passage = [], text(120), text(100), text(40)
-    for _ in range(30):
-        one = text(draw.choice([4, 6, 10, 40, 200]))
-        made += [one, edited(one, draw.randrange(6))]
-    made += [edited(base, draw.randrange(3)) for _ in range(60)]
-    for _ in range(40):
-        chain = edited(chain, 2)
-        made.append(chain)
-    made += [passage + text(draw.choice([3, 30])) for _ in range(60)]
-    made += [[], ["one"], ["ONE"], ["one", "two"]]
-    rows += [(100_000 + k, " ".join(words)) for k, words in enumerate(made)]
+    for k in range(60):
+        words = rows[draw.randrange(100)][1].split()
+        words[draw.randrange(len(words))] = "edited"
+        rows.append((1000 + k, " ".join(words)))
+    chain = [f"w{draw.randrange(5000)}" for _ in range(400)]
+    for k in range(30):
+        chain[draw.randrange(400)] = f"e{k}"
+        rows.append((2000 + k, " ".join(chain)))
+    rows += [(3000, "one text many times")] * 50 + [(3001, "one text many times"), (None, "one text many times")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    kept = corpus_pipeline.near_copies(spark, df, SMALL)
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(brute_kept(rows))
+    kept = corpus_pipeline.near_copies(spark, df, SMALL).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept) == sorted(brute_kept(rows))
 
 
-def test_pipeline_near_copies_go_by_text_not_by_id(spark):
+def test_pipeline_near_copies_go_by_row_not_by_id(spark):
     one, two, three = ("a b c d e f", "g h i j k l m", "n o p q r s t u")
     rows = [(1, one), (1, two), (1, two), (2, two), (None, one), (None, three), (None, three), (None, None), (3, " \n")]
-    df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    kept = corpus_pipeline.near_copies(spark, df, SMALL).collect()
-    assert sorted((r.doc_id or 0, r.text) for r in kept) == [(0, three), (1, one), (1, two), (3, " \n")]
-
-
-def test_sketches_never_hide_a_link():
-    draw = np.random.default_rng(9)
-    for size in (1, 5, 40, 700, 3000):
-        for _ in range(50):
-            one = np.unique(draw.integers(-(2**63), 2**63 - 1, size))
-            two = np.unique(np.r_[one[draw.random(len(one)) > 0.1], draw.integers(-(2**63), 2**63 - 1, size // 10)])
-            packed = [len(x).to_bytes(8, "little") + resemblance.sketch(x).tobytes() for x in (one, two) if len(x)]
-            if len(packed) == 2 and resemblance._links(one.tobytes(), two.tobytes()):
-                assert resemblance._may(*packed)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("_kept", F.create_map(F.lit("a"), "text"))
+    kept = corpus_pipeline.near_copies(spark, df, SMALL)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == [(0, three), (1, one), (1, two), (3, " \n")]
