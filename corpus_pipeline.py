@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assayer.llm import decontaminate, mixing, quality, resemblance, sharding
+from assayer.llm import decontaminate, mixing, quality, sharding, simhash
 from assayer.llm.shared import table
 from assayer.sources import remove_folder, scratch_folder
 
@@ -22,8 +22,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, 0.8 of them shared) stays, the one with the smallest id."""
-    return resemblance.keep_one(docs)
+    """One document of each group of near copies by SimHash stays, the one with the smallest id."""
+    return simhash.keep_one(docs)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
