@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covertree, decontaminate, licenses, mixing, personal, quality, sharding, simhash, warc, wrappers
+from . import (
+    codes,
+    covertree,
+    decontaminate,
+    licenses,
+    lines,
+    mixing,
+    personal,
+    quality,
+    sharding,
+    simhash,
+    variants,
+    warc,
+    wrappers,
+)
 from .shared import table
 
 QUERIES: dict = {}
@@ -86,3 +100,18 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_personal")
 def op10_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal.find(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op11_lines", lines.SQL)
+def op11_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op12_variants")
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op13_codes", codes.SQL)
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
