@@ -1,98 +1,79 @@
-"""Rows whose value falls below the value before them, without one global sort."""
+"""Rows whose value falls below the value before them, by one exchange into ranges."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.sqltext import ident
 
-BUCKETS_PER_PARTITION = 4
-MAX_BUCKETS = 10_000
-
 
 def falling_rows(
-    df: DataFrame, value: Column, missing: Column, order_by: str, keys: list[str], buckets: int | None = None
+    df: DataFrame, value: Column, missing: Column, order_by: str, keys: list[str], ranges: int | None = None
 ) -> DataFrame:
     """Rows whose value is below the previous one, as ``value`` and the keys.
 
-    Rows are taken in the order of ``order_by``, equal ones by value; missing
-    values are left out.  The order key is cut into ranges of about equal size,
-    each range is sorted and compared by itself, and the first row of a range is
-    compared with the last one of the range before.  An order key so frequent
-    that it fills a whole range is first reduced to its smallest and largest
-    value: in between, sorted by value, nothing can fall.
+    Rows are taken in the order of ``order_by``, nulls first, equal ones by
+    value; missing values are left out.  Spark deals the rows out into ranges
+    of about equal size when the plan runs, as many as it has shuffle
+    partitions (or ``ranges``), and sorts each.  The value is part of the
+    range, and so are the keys and the number of the task a row comes from, so
+    that rows of one order key, even of one value, need not stay together:
+    where they are cut apart changes nothing.
+
+    A task reads its range once, and compares each row with the one before.
+    It gives the rows that fall, and one row with the range's first row and
+    last value; those, one for each range, meet in a window.
     """
-    spark = df.sparkSession
+    _check(df.schema[order_by].dataType)
+    key_columns = [f"key_{i}" for i in range(len(keys))]
     rows = df.filter(~missing).select(
-        _place(df.schema[order_by].dataType, F.col(ident(order_by))).alias("place"),
         F.col(ident(order_by)).alias("ordinal"),
         value.alias("low"),
-        *[F.col(ident(k)).alias(f"key_{i}") for i, k in enumerate(keys)],
+        *[F.col(ident(k)).alias(c) for k, c in zip(keys, key_columns)],
     )
-    key_columns = [f"key_{i}" for i in range(len(keys))]
-
-    if buckets is None:
-        buckets = min(MAX_BUCKETS, BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cuts = _cuts(rows, buckets)
-    frequent = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
-    inner = sorted(set(cuts))
-
-    if frequent:
-        is_frequent = F.col("place").isin(frequent)
-        extremes = (
-            rows.filter(is_frequent)
-            .groupBy("place", "ordinal")
-            .agg(F.min(F.struct("low", *key_columns)).alias("first"), F.max("low").alias("high"))
-            .select("place", "ordinal", "first.*", "high")
-        )
-        rows = rows.filter(~is_frequent).withColumn("high", F.col("low")).unionByName(extremes)
-    else:
-        rows = rows.withColumn("high", F.col("low"))
-
-    rows = _bucketed(rows, inner).drop("place")
-    in_order = Window.partitionBy("bucket").orderBy("ordinal", "low")
-    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    steps = rows.select(
-        "*",
-        F.lag("high").over(in_order).alias("before"),
-        F.row_number().over(in_order).alias("rank"),
-        F.last("high").over(whole).alias("end"),
-    )
-    # One row per range, so at most MAX_BUCKETS of them meet in this window.
-    starts = steps.filter("rank = 1").withColumn("before", F.lag("end").over(Window.orderBy("bucket")))
-    falls = steps.filter("rank > 1").unionByName(starts).filter(F.col("low") < F.col("before"))
+    orderable = [c for c in key_columns if not isinstance(rows.schema[c].dataType, (T.MapType, T.VariantType))]
+    place = ["ordinal", "low", *orderable]
+    numbered = rows.withColumn("task", F.spark_partition_id())
+    dealt = numbered.repartitionByRange(*([ranges] if ranges else []), *place, "task").sortWithinPartitions(*place)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = last = None
+        number = TaskContext.get().partitionId()
+
+        def told(batch: pa.RecordBatch, end, is_end: bool) -> pa.RecordBatch:
+            n = batch.num_rows
+            about = [pa.array([number] * n, pa.int32()), pa.array([is_end] * n, pa.bool_())]
+            ends = pa.array([end] * n, batch.schema.field("low").type)
+            return pa.RecordBatch.from_arrays([*about, ends, *batch.columns], ["range", "is_end", "end", *batch.schema.names])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            low = batch.column(0)
+            before = pa.concat_arrays([pa.array([low[0] if last is None else last], low.type), low.slice(0, len(low) - 1)])
+            yield told(batch.filter(pc.less(low, before)), None, False)
+            first, last = first or batch.slice(0, 1), low[len(low) - 1]
+        if first:
+            yield told(first, last, True)
+
+    given = dealt.select("low", *key_columns)
+    fields = [T.StructField("range", T.IntegerType()), T.StructField("is_end", T.BooleanType())]
+    fields.append(T.StructField("end", given.schema["low"].dataType))
+    found = given.mapInArrow(compare, T.StructType([*fields, *given.schema.fields]))
+    # The ends share a lane, one row for each range; falls stay in lanes of their ranges.
+    lane = F.when(F.col("is_end"), -1).otherwise(F.col("range"))
+    before = F.lag("end").over(Window.partitionBy("lane").orderBy("range"))
+    falls = found.withColumn("lane", lane).withColumn("before", before).filter(~F.col("is_end") | (F.col("low") < F.col("before")))
     return falls.select(F.col("low").alias("value"), *[F.col(c).alias(k) for c, k in zip(key_columns, keys)])
 
 
-def _place(dtype: T.DataType, key: Column) -> Column:
-    """A number that never decreases along the order key; nulls come first."""
-    if isinstance(dtype, T.DateType):
-        number = F.unix_date(key).cast("double")
-    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        number = F.unix_micros(key.cast("timestamp")).cast("double")
-    elif isinstance(dtype, T.NumericType):
-        number = key.cast("double")
-    else:
+def _check(dtype: T.DataType) -> None:
+    if not isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType, T.NumericType)):
         raise ValueError(f"order_by must be a number, date or timestamp, not {dtype.simpleString()}")
-    number = F.when(F.isnan(number), F.lit(float("inf"))).otherwise(number)
-    return F.coalesce(number, F.lit(float("-inf")))
-
-
-def _cuts(rows: DataFrame, buckets: int) -> list[float]:
-    """Approximate quantiles of the order key; they steer balance, not results."""
-    if buckets < 2:
-        return []
-    steps = [i / buckets for i in range(1, buckets)]
-    return rows.approxQuantile("place", steps, 1 / (4 * buckets))
-
-
-def _bucketed(rows: DataFrame, cuts: list[float]) -> DataFrame:
-    from pyspark.ml.feature import Bucketizer
-
-    finite = [c for c in cuts if float("-inf") < c < float("inf")]
-    if not finite:
-        return rows.withColumn("bucket", F.lit(0.0))
-    splits = [float("-inf"), *finite, float("inf")]
-    return Bucketizer(splits=splits, inputCol="place", outputCol="bucket").transform(rows)

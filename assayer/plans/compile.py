@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.conditions import as_text
+from ..functions.pandastext import pandas_condition
 from ..functions.sqltext import Field, Predicate, as_column, both, fails
+from ..operators.duplicates import comparable
 from ..operators.registry import (
     COMMON_ARGUMENTS,
     JUDGE,
@@ -35,8 +37,9 @@ CONSTANT = re.compile(r"\bCAST\('(?:[^'\\]|\\.)*' AS [A-Za-z_]+(?:\([0-9, ]+\))?
 class Check:
     """A rule made ready for one table.
 
-    ``domain`` says which rows the rule is about, ``missing`` which of these it
-    leaves unjudged, ``condition`` what the judged ones must meet.
+    ``domain`` says which rows the rule is about (those of its row condition,
+    and not ignored), ``missing`` which of these it leaves unjudged,
+    ``condition`` what the judged ones must meet.
     """
 
     position: int
@@ -44,6 +47,7 @@ class Check:
     kind: RuleType | None
     kwargs: dict = field(default_factory=dict)
     fields: tuple[Field, ...] = ()
+    row_condition: Predicate | None = None
     domain: Predicate | None = None
     missing: Predicate | None = None
     condition: Predicate | None = None
@@ -135,8 +139,8 @@ def _compile(schema: T.StructType, position: int, rule: Rule, now: dt.datetime)
         raise ValueError("mostly must lie between 0 and 1")
     arguments = {name: d(now) if callable(d) else d for name, d in kind.defaults.items()}
     arguments |= {k: v for k, v in kwargs.items() if k not in COMMON_ARGUMENTS}
-    row_condition = lenient(kwargs.get("row_condition")) or None
-    check = Check(position, rule, kind, kwargs, domain=row_condition, arguments=arguments)
+    row_condition = _row_condition(schema, kwargs)
+    check = Check(position, rule, kind, kwargs, row_condition=row_condition, domain=row_condition, arguments=arguments)
 
     if kind.scope == "schema":
         return replace(check, decided=kind.condition(schema, {**arguments, "column": kwargs.get("column")}))
@@ -152,6 +156,8 @@ def _compile(schema: T.StructType, position: int, rule: Rule, now: dt.datetime)
             if not kwargs.get("order_by"):
                 raise ValueError("order_by is required: a table has no row order of its own")
             _field(schema, kwargs["order_by"])
+        elif not comparable(fields[0].dtype):
+            raise ValueError(f"values of type {fields[0].dtype.simpleString()} cannot be compared")
         return replace(check, missing=fields[0].missing)
     if kind.scope == "pair":
         domain = both(row_condition, _kept(fields, kwargs.get("ignore_row_if", kind.ignore_row_if), PAIR_MODES))
@@ -162,6 +168,17 @@ def _compile(schema: T.StructType, position: int, rule: Rule, now: dt.datetime)
     return check
 
 
+def _row_condition(schema: T.StructType, kwargs: dict) -> Predicate | None:
+    """A rule's row condition as a predicate; text for pandas that is no expression of Python is taken as SQL."""
+    given = kwargs.get("row_condition")
+    if isinstance(given, str) and given.strip() and kwargs.get("condition_parser") == "pandas":
+        try:
+            return pandas_condition(given, schema)
+        except SyntaxError:
+            pass
+    return lenient(given) or None
+
+
 def lenient(condition: str | None) -> str | None:
     """A row condition whose casts give null instead of an error; quoted text stays as it is."""
     if not isinstance(condition, str):
@@ -233,7 +250,8 @@ def _resolved(df: DataFrame, checks: list[Check], keys: list[str], strict: bool)
     def work_out(positions) -> None:
         made = [c for p in positions for c in constants.get(p, [])]
         if made:
-            one = df.sparkSession.range(1)
+            # Of a single literal row the optimizer makes another one; no job runs.
+            one = df.sparkSession.sql("SELECT * FROM VALUES (1) AS one(one)")
             one.select(*[c.alias(f"constant_{i}") for i, c in enumerate(made)]).collect()
 
     try:

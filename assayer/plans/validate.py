@@ -19,10 +19,11 @@ from pyspark.sql import functions as F
 
 from ..functions.conditions import as_date, as_double
 from ..functions.sqltext import Predicate, as_column, both, ident, literal
-from ..operators.duplicates import duplicate_counts, duplicate_rows
+from ..operators.duplicates import Unique, duplicate_counts, duplicate_rows
 from ..operators.ordering import falling_rows
 from ..operators.registry import FRACTION, LIST, PERCENT_ROUNDED, Rule
-from .compile import Check, compile_suite, failed, lenient
+from .compile import Check, compile_suite, failed
+from .lists import COUNT, FLAGS, POSITION, TIE, bounded, condensed, is_atomic
 from .suite import Suite
 
 Rewrite = Callable[[Predicate | None], Predicate | None]
@@ -37,11 +38,10 @@ FUSED_SCOPES = ("column", "pair", "multi", "aggregate", "order")
 AGGREGATES = 40
 
 # Helpers between two steps of the plan of offending rows.
-FLAGS, PLACE, SHOWN = "__flags", "__position", "__value"
+PLACE, SHOWN = POSITION, "__value"
 GOOD = -1
 
 PARTIAL_ROWS = 20
-RANK_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 COUNT_TYPES = {
     "element_count": "bigint",
@@ -117,17 +117,13 @@ def validate(
     if not isinstance(suite, Suite):
         suite = Suite("default", suite)
     now = run_time or dt.datetime.now(dt.timezone.utc)
-    partial_rows = int(options.get("partial_unexpected_count", PARTIAL_ROWS))
-    # Spark cuts ranked rows before the shuffle up to a limit of its own; a longer list has to be within it too.
-    if partial_rows > int(df.sparkSession.conf.get(RANK_LIMIT)):
-        df.sparkSession.conf.set(RANK_LIMIT, str(partial_rows))
     return Validation(
         df=df,
         suite=suite,
         checks=compile_suite(df, list(suite), now, keys, strict),
         keys=keys,
         level=_level(options.get("result_format")),
-        partial_rows=partial_rows,
+        partial_rows=int(options.get("partial_unexpected_count", PARTIAL_ROWS)),
         with_query=bool(options.get("return_unexpected_index_query", True)),
         run_id=run_id or now.strftime("%Y%m%d%H%M%S"),
         run_time=now,
@@ -200,16 +196,15 @@ class Validation:
         parts = [self._numbered_counts(fused) if len(fused) > AGGREGATES else self._fused_counts(fused)] if fused else []
         if self._of_scope("schema", "failed") or not parts:
             parts.append(self._settled_counts())
-        for check in self._of_scope("duplicates"):
-            field = check.fields[0]
-            counted = duplicate_counts(self._within(check), field.col, F.expr(field.missing))
-            parts.append(_count_row(counted, check, listed_count=F.col("unexpected_count")))
+        if unique := self._of_scope("duplicates"):
+            counted = duplicate_counts(self._base(unique), _uniques(unique))
+            parts.append(_count_row(counted, listed_count=F.col("unexpected_count")))
         for check in self._of_scope("order"):
             fallen = self._fallen(check, keys=[]).agg(F.count(F.lit(1)).alias("unexpected_count"))
-            parts.append(_count_row(fallen, check, listed_count=F.col("unexpected_count")))
+            parts.append(_count_row(fallen.withColumn("position", F.lit(check.position)), listed_count=F.col("unexpected_count")))
         for check in self._of_scope("table"):
             made = check.kind.condition(self._within(check), **_table_arguments(check))
-            parts.append(_count_row(made, check, passed=F.col("success")))
+            parts.append(_count_row(made.withColumn("position", F.lit(check.position)), passed=F.col("success")))
         counts = reduce(DataFrame.unionByName, parts)
         if self._of_scope("order"):
             # The fused aggregation gave the rows and missing values, the branch the falls.
@@ -228,7 +223,7 @@ class Validation:
 
     def _base(self, checks: list[Check]) -> DataFrame:
         """The table, filtered at the scan if all these rules share one row condition."""
-        conditions = {lenient(c.kwargs.get("row_condition")) or None for c in checks}
+        conditions = {c.row_condition if isinstance(c.row_condition, str) else None for c in checks}
         if len(conditions) == 1 and None not in conditions:
             return self.df.filter(conditions.pop())
         return self.df
@@ -426,9 +421,6 @@ class Validation:
         types = ["array<string>", "array<map<string,string>>", "array<struct<value:string,count:bigint>>"]
         if self.partial_rows > 0 and self._listing_checks:
             graded = graded.join(self._partial_lists, "position", "left")
-            levels = {_level(c.kwargs["result_format"]) for c in self.checks if c.kwargs.get("result_format")}
-            if max({self.level} | levels) >= 1:
-                graded = graded.join(self._partial_counts, "position", "left")
             listing = F.col("exception_message").isNull() & F.col("unexpected_count").isNotNull()
             for name, kind, least in zip(lists, types, (0, 1, 1)):
                 filled = F.coalesce(F.col(name), F.array().cast(kind)) if name in graded.columns else F.lit(None)
@@ -470,16 +462,18 @@ class Validation:
     @cached_property
     def _listed(self) -> DataFrame:
         """``position``, ``value`` and the keys of every listed row."""
+        return self._listed_by(self._listing_checks)
+
+    def _listed_by(self, checks: list[Check]) -> DataFrame:
         quoted = [F.col(ident(k)).alias(k) for k in self.keys]
         parts = []
-        if fused := self._of_scope("column", "pair", "multi"):
+        if fused := [c for c in checks if c.judges_rows]:
             hit = self._fused_rows(fused)
             parts.append(hit.select(F.col(PLACE).alias("position"), F.col(SHOWN).alias("value"), *quoted))
-        for check in self._of_scope("duplicates"):
-            field = check.fields[0]
-            hit = duplicate_rows(self._within(check), field.col, F.expr(field.missing), self.keys)
-            parts.append(_placed(hit, check))
-        for check in self._of_scope("order"):
+        if unique := [c for c in checks if c.scope == "duplicates"]:
+            hit = duplicate_rows(self._base(unique), _uniques(unique), self.keys)
+            parts.append(hit.select("position", "value", *[ident(k) for k in self.keys]))
+        for check in (c for c in checks if c.scope == "order"):
             parts.append(_placed(self._fallen(check, self.keys), check))
         if not parts:
             empty = self.df.select(F.lit(0).alias("position"), F.lit("").alias("value"), *quoted)
@@ -522,45 +516,58 @@ class Validation:
 
     @cached_property
     def _partial_lists(self) -> DataFrame:
-        """The first rows per rule by key; each task keeps only that many before the shuffle."""
-        order = [F.col(ident(k)).asc_nulls_last() for k in self.keys] + [F.col("value").asc_nulls_last()]
-        ranked = self._listed.withColumn("rank", F.row_number().over(Window.partitionBy("position").orderBy(*order)))
-        shown = [F.col(ident(k)).cast("string").alias(f"key_{i}") for i, k in enumerate(self.keys)]
-        first = (
-            ranked.filter(F.col("rank") <= self.partial_rows)
-            .groupBy("position")
-            .agg(F.array_sort(F.collect_list(F.struct("rank", "value", *shown))).alias("rows"))
-        )
+        """The first rows of each rule by key, and its most frequent values; one scan for all rules that judge rows."""
+        levels = [_level(c.kwargs["result_format"]) for c in self.checks if c.kwargs.get("result_format")]
+        counting = max([self.level, *levels]) >= 1 or not self.keys
+        direct = [c for c in self.checks if c.judges_rows and all(is_atomic(f.dtype) for f in c.fields)]
+        others = [c for c in self._listing_checks if c.position not in {d.position for d in direct}]
+        parts = []
+        if direct:
+            columns = {c.position: [f.name for f in c.fields] for c in direct}
+            found = condensed(self._flagged_rows(direct), columns, self.keys, self.partial_rows, counting)
+            value = " ".join(f"WHEN {c.position} THEN {c.value}" for c in direct)
+            parts.append(found.withColumn(SHOWN, F.expr(f"CASE {POSITION} {value} END")))
+        if others:
+            # The value is text here, and the column beside the keys.
+            rows = self._listed_by(others).withColumnsRenamed({"value": SHOWN}).withColumn(FLAGS, F.array("position"))
+            rows = rows.select(FLAGS, SHOWN, *self._key_columns(rows))
+            columns = {c.position: [SHOWN] for c in others}
+            parts.append(condensed(rows, columns, self.keys, self.partial_rows, counting))
+        head = [F.col(POSITION).alias("position"), F.col(SHOWN).alias("value"), COUNT, TIE]
+        keys = [F.col(ident(k)) for k in self.keys]
+        rows = reduce(DataFrame.unionByName, [p.select(*head, *keys) for p in parts])
+        lists = bounded(rows, self.keys, self.partial_rows)
 
         def index(row: Column) -> Column:
             pairs = [part for i, k in enumerate(self.keys) for part in (F.lit(k), row[f"key_{i}"])]
             return F.create_map(*pairs).cast("map<string,string>")
 
-        return first.select(
+        return lists.select(
             "position",
-            F.transform("rows", lambda row: row["value"]).alias("partial_unexpected_list"),
-            (F.transform("rows", index) if self.keys else F.lit(None).cast("array<map<string,string>>")).alias(
+            F.transform("first", lambda row: row["value"]).alias("partial_unexpected_list"),
+            (F.transform("first", index) if self.keys else F.lit(None).cast("array<map<string,string>>")).alias(
                 "partial_unexpected_index_list"
             ),
+            F.col("frequent").alias("partial_unexpected_counts"),
         )
 
-    @cached_property
-    def _partial_counts(self) -> DataFrame:
-        """The most frequent offending values per rule."""
-        counted = self._listed.groupBy("position", "value").agg(F.count(F.lit(1)).alias("count"))
-        order = Window.partitionBy("position").orderBy(F.desc("count"), F.col("value").asc_nulls_last())
-        return (
-            counted.withColumn("rank", F.row_number().over(order))
-            .filter(F.col("rank") <= self.partial_rows)
-            .groupBy("position")
-            .agg(F.array_sort(F.collect_list(F.struct("rank", "value", "count"))).alias("rows"))
-            .select(
-                "position",
-                F.transform("rows", lambda r: F.struct(r["value"].alias("value"), r["count"].alias("count"))).alias(
-                    "partial_unexpected_counts"
-                ),
-            )
-        )
+    def _key_columns(self, rows: DataFrame) -> list[Column]:
+        """The keys; those without a plain order are listed as text."""
+        plain = {k: is_atomic(rows.schema[k].dataType) for k in self.keys}
+        return [(F.col(ident(k)) if plain[k] else F.col(ident(k)).cast("string")).alias(k) for k in self.keys]
+
+    def _flagged_rows(self, fused: list[Check]) -> DataFrame:
+        """Each row that a rule lists, once, with the rules' numbers in FLAGS, the keys and the rules' columns."""
+        base, rewrite = self._with_parsed(self._base(fused), fused)
+        flags = [_flag(rewrite(c.listed), c.position) for c in fused]
+        names = [n for n in dict.fromkeys(f.name for c in fused for f in c.fields) if n not in self.keys]
+        used = [F.col(ident(n)) for n in names]
+        if texts := [k for k in self.keys if not is_atomic(base.schema[k].dataType)]:
+            base = base.withColumns({k: F.col(ident(k)).cast("string") for k in texts})
+        marked = base.withColumn(FLAGS, F.array_remove(F.array(*flags), GOOD))
+        # Exploding an array of none or one, as a filter would have the flags worked out twice.
+        some = F.filter(F.array(FLAGS), lambda listed: F.size(listed) > 0)
+        return marked.select(*[F.col(ident(k)) for k in self.keys], *used, F.explode(some).alias(FLAGS))
 
     def report(self, ordered: bool = True) -> DataFrame:
         """Violations with a pass flag per business rule; a clean check gives one row of nulls.
@@ -631,10 +638,14 @@ def _count_struct(check: Check, values: dict[str, str]) -> str:
     return f"named_struct('position', {check.position}, {', '.join(columns)})"
 
 
-def _count_row(df: DataFrame, check: Check, **extra: Column) -> DataFrame:
+def _count_row(df: DataFrame, **extra: Column) -> DataFrame:
     values = {c: F.col(c) for c in COUNT_TYPES if c in df.columns} | extra
     columns = [values.get(c, F.lit(None)).cast(t).alias(c) for c, t in COUNT_TYPES.items()]
-    return df.select(F.lit(check.position).alias("position"), *columns)
+    return df.select("position", *columns)
+
+
+def _uniques(checks: list[Check]) -> list[Unique]:
+    return [Unique(c.position, c.fields[0], c.domain) for c in checks]
 
 
 def _placed(rows: DataFrame, check: Check) -> DataFrame:

@@ -166,6 +166,51 @@ add(
         ),
     ),
 )
+# Whole numbers, doubles and texts, some rules on some of the rows.
+MANY = [
+    ("l_orderkey", None),
+    ("l_partkey", None),
+    ("l_extendedprice", None),
+    ("quantity", None),
+    ("discount", None),
+    ("ship_date", None),
+    ("receipt_date", None),
+    ("counted", None),
+    ("l_orderkey", "l_linenumber = 1"),
+    ("l_partkey", "l_linenumber > 4 and quantity > 20"),
+    ("ship_date", "counted = 'none'"),
+    ("l_linenumber", "l_orderkey < 0"),
+]
+
+
+def repeated_sql(column: str, condition: str | None) -> str:
+    """The table's rows with ``inside`` and the size ``k`` of the value's group inside."""
+    return (
+        f"(select *, count(*) over (partition by {column}, inside) as k"
+        f" from (select *, coalesce({condition or 'true'}, false) as inside from {table_sql(LINES)} a) b)"
+    )
+
+
+def many_uniques() -> list[tuple[str, dict]]:
+    return [
+        ("column_values_to_be_unique", dict(column=c, rule_id=f"u{i:02}", **(dict(row_condition=r) if r else {})))
+        for i, (c, r) in enumerate(MANY)
+    ]
+
+
+add(
+    "dq_unique_many",
+    LINES,
+    many_uniques(),
+    union(
+        *[
+            row_result(
+                "column_values_to_be_unique", repeated_sql(c, r), "k = 1", NULL(c), domain="inside", rule_id=f"u{i:02}"
+            )
+            for i, (c, r) in enumerate(MANY)
+        ]
+    ),
+)
 add(
     "dq_between",
     LINES,
@@ -419,6 +464,42 @@ add(
     ),
 )
 
+# The same rule under conditions as ``DataFrame.query`` takes them, and what they say in SQL.
+PANDAS = [
+    ("o_orderkey > 500 and status == 'F'", "o_orderkey > 500 and coalesce(status = 'F', false)"),
+    ("status != 'O' & ~(price > 1e5)", "coalesce(status <> 'O', true) and not coalesce(price > 1e5, false)"),
+    ("`status` in ['F', \"P\"] or price.isnull()", "coalesce(status in ('F', 'P'), false) or price is null"),
+    ("status not in ('F',) and 1000 <= price < 200000", "coalesce(status <> 'F', true) and price >= 1000 and price < 200000"),
+    ("price.notna() | priority.str.startswith('1-')", "price is not null or coalesce(starts_with(priority, '1-'), false)"),
+    ("not (price * 2 + 1 > 100000 and o_orderkey % 2 == 0)", "not (coalesce(price * 2 + 1 > 100000, false) and o_orderkey % 2 = 0)"),
+    ("status == ['F', 'O'] and price.between(1000, 150000)", "coalesce(status in ('F', 'O'), false) and price between 1000 and 150000"),
+    ("priority.str.contains('URG|LOW') and status.isin(['X', None])", "coalesce(regexp_matches(priority, 'URG|LOW'), false) and (status = 'X' or status is null)"),
+]
+add(
+    "rowcond_pandas",
+    ORDERS,
+    [
+        (
+            "column_values_to_meet_date_condition",
+            {**DATED, "row_condition": given, "condition_parser": "pandas", "rule_id": f"p{i}"},
+        )
+        for i, (given, _) in enumerate(PANDAS)
+    ],
+    union(
+        *[
+            row_result(
+                "column_values_to_meet_date_condition",
+                ORDERS,
+                SINCE,
+                "order_date is null",
+                domain=f"coalesce({sql}, false)",
+                rule_id=f"p{i}",
+            )
+            for i, (_, sql) in enumerate(PANDAS)
+        ]
+    ),
+)
+
 # -- two and more columns -------------------------------------------------
 
 PAIR = dict(column_A="receipt_date", column_B="ship_date")

@@ -19,7 +19,7 @@ from assayer.sources import (
 )
 
 from .oracle import day, row_result, union
-from .rules import verdicts
+from .rules import MANY, many_uniques, repeated_sql, verdicts
 from .tables import scratch, table, table_sql
 
 QUERIES: dict = {}
@@ -195,6 +195,25 @@ def violations_shuffled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "violations_unique_many",
+    union(
+        *[
+            f"select 'u{i:02}' as rule_id, cast({c} as string) as value, l_orderkey, l_linenumber"
+            f" from {repeated_sql(c, r)} t where inside and k > 1 and {c} is not null"
+            for i, (c, r) in enumerate(MANY)
+            if c not in ("l_extendedprice", "quantity", "discount")
+        ]
+    ),
+)
+def violations_unique_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows behind many uniqueness rules; engines write doubles differently, so those are left out."""
+    rules = [Rule.of(f"expect_{name}", **kwargs) for name, kwargs in many_uniques()]
+    kept = [r for r in rules if r.kwargs["column"] not in ("l_extendedprice", "quantity", "discount")]
+    found = validate(table(spark, sf_dir, "dirty_lines"), Suite("uniques", kept), keys=["l_orderkey", "l_linenumber"])
+    return found.violations.select("rule_id", "value", "l_orderkey", "l_linenumber")
+
+
 @query(
     "violations_filled",
     f"select rule_id, coalesce(value, 'nan') as value, o_orderkey from ({listed_sql()}) v",

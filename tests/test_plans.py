@@ -2,7 +2,9 @@
 
 import contextlib
 import io
+import itertools
 import re
+from collections import Counter
 
 import pytest
 
@@ -86,9 +88,72 @@ def test_range_and_set_violations_are_pushed_down(lines):
     assert "Not(In(l_linenumber, [1,2]))" in plan(validate(lines, [rule], ["l_orderkey"]).violations)
 
 
-def test_partial_lists_are_cut_before_the_shuffle(lines):
-    text = tree(validate(lines, ROW_RULES, keys=["l_orderkey"]).results)
-    assert text.count("WindowGroupLimit") == 2
+@pytest.mark.parametrize("length", [20, 2000])
+def test_lists_are_one_scan_cut_before_the_shuffle(lines, length):
+    options = {"result_format": "COMPLETE", "partial_unexpected_count": length}
+    outcome = validate(lines, ROW_RULES, keys=["l_orderkey"], result_format=options)
+    text = tree(outcome._partial_lists)
+    assert text.count("Scan parquet") == 1 and text.count("MapInArrow") == 1
+    # Through the first exchange go the tasks' least rows and counts, through the others the lists themselves.
+    assert text.count("Exchange") == 3
+    assert tree(outcome.results).count("Scan parquet") == 2
+
+
+def plain_lists(outcome, length, keys):
+    """(first values, first keys, frequent values) of each rule, from all offending rows."""
+    rows = outcome._listed.collect()
+    found = {}
+    for position in {r.position for r in rows}:
+        own = [r for r in rows if r.position == position]
+        own.sort(key=lambda r: [(r[k] is None, r[k] or 0) for k in keys] + [(r["value"] is None, r["value"] or "")])
+        counts = Counter(r["value"] for r in own)
+        frequent = sorted(counts.items(), key=lambda c: (-c[1], c[0] is None, c[0] or ""))[:length]
+        first = own[:length]
+        index = [{k: None if r[k] is None else str(r[k]) for k in keys} for r in first] if keys else None
+        found[position] = ([r["value"] for r in first], index, frequent)
+    return found
+
+
+@pytest.mark.parametrize("length", [3, 40])
+@pytest.mark.parametrize("keys", [["id"], ["id", "day"], []])
+def test_lists_against_all_rows(spark, monkeypatch, length, keys):
+    """Repeated rows, missing keys and values, nested columns; values so many that tasks hand their counts on early."""
+    monkeypatch.setattr("assayer.plans.lists.HELD", 50)
+    df = spark.range(0, 900, 1, 6).selectExpr(
+        "if(id % 50 = 7, null, (id * 37) % 900) as id",
+        "date_add(DATE'2024-01-01', int(id % 3)) as day",
+        "if(id % 11 = 0, null, if(id % 13 = 0, double('nan'), id % 70 / 4)) as x",
+        "concat('t', id % 90) as t",
+        "array(id % 5) as a",
+    )
+    df = df.union(df.filter("id < 40")).union(df.filter("id = 3")).repartition(4)
+    rules = [
+        Rule.of("expect_column_values_to_be_between", column="x", max_value=3),
+        Rule.of("expect_column_values_to_not_be_null", column="x"),
+        Rule.of("expect_column_values_to_match_regex", column="t", regex="^t1"),
+        Rule.of("expect_column_pair_values_to_be_equal", column_A="x", column_B="id", ignore_row_if="neither"),
+        Rule.of("expect_column_values_to_be_in_set", column="day", value_set=["2024-01-01"]),
+        Rule.of("expect_column_values_to_be_unique", column="t"),
+        Rule.of("expect_column_values_to_be_unique", column="a", row_condition="id > 880"),
+        Rule.of("expect_column_values_to_be_increasing", column="x", order_by="id"),
+    ]
+    options = {"result_format": "COMPLETE", "partial_unexpected_count": length}
+    outcome = validate(df, rules, keys=keys, result_format=options)
+    want = plain_lists(outcome, length, keys)
+    for r in outcome.results.collect():
+        first, index, frequent = want.get(r.position, ([], [], []))
+        index = index or []
+        assert [tuple(c) for c in r.partial_unexpected_counts] == frequent
+        assert r.partial_unexpected_index_list == index
+        if keys:  # rows with equal keys come in an order of their own
+            by_key = [sorted(map(str, g)) for g in grouped_by(zip(map(str, index), r.partial_unexpected_list))]
+            assert by_key == [sorted(map(str, g)) for g in grouped_by(zip(map(str, index), first))] or len(first) == length
+        else:
+            assert r.partial_unexpected_list == first
+
+
+def grouped_by(pairs):
+    return [[v for _, v in g] for _, g in itertools.groupby(pairs, key=lambda p: p[0])]
 
 
 def test_uniqueness_combines_before_the_shuffle(lines):
@@ -97,13 +162,48 @@ def test_uniqueness_combines_before_the_shuffle(lines):
     assert re.search(r"HashAggregate.*\n.*Exchange.*\n.*HashAggregate", text)
 
 
-def test_order_rule_sorts_ranges_and_reuses_its_shuffle(spark):
+UNIQUE_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_tax", "l_returnflag", "l_shipdate")
+UNIQUES = [Rule.of("expect_column_values_to_be_unique", column=c) for c in UNIQUE_COLUMNS] + [
+    Rule.of("expect_column_values_to_be_unique", column=c, row_condition="l_linenumber = 1") for c in UNIQUE_COLUMNS[:3]
+]
+
+
+def test_many_uniqueness_rules_share_scans_and_exchanges(lines):
+    outcome = validate(lines, UNIQUES, keys=["l_orderkey", "l_linenumber"])
+    text = tree(outcome.counts)
+    assert text.count("Scan parquet") == 1 and text.count("Exchange hashpartitioning") <= 2 or text.count("Exchange") == 3
+    assert final_scans(outcome.violations) <= 2
+
+
+def test_values_without_order_fail_their_rule_alone(spark):
+    df = spark.range(3).selectExpr("id", "map('a', id) as m", "array(id) as a", "named_struct('x', id) as s")
+    rules = [Rule.of("expect_column_values_to_be_unique", column=c) for c in ("m", "a", "s", "id")]
+    found = validate(df, rules, keys=["id"]).results.orderBy("position").collect()
+    assert [r.raised_exception for r in found] == [True, False, False, False]
+    assert [r.success for r in found] == [False, True, True, True]
+
+
+def test_order_rule_is_one_exchange_into_ranges(spark):
     events = spark.read.parquet(f"{TABLES}/events.parquet")
     rule = Rule.of("expect_column_values_to_be_increasing", column="value", order_by="event_id")
     rows = validate(events, [rule], keys=["event_id"])._listed
-    rows.collect()
-    final = tree(rows)
-    assert "ReusedExchange" in final
+    text = plan(rows)
+    assert text.count("Arguments: rangepartitioning(") == 1
+    # The other exchange gets the rows that fall, and one row for each range.
+    assert tree(rows).count("Exchange") == 2 and tree(rows).count("Scan parquet") == 1
+
+
+def test_validate_starts_no_job_and_changes_no_setting(spark, lines):
+    context, limit = spark.sparkContext, "spark.sql.optimizer.windowGroupLimitThreshold"
+    before = spark.conf.get(limit)
+    context.setJobGroup("compile", "compile")
+    rules = [*ROW_RULES, *UNIQUES, Rule.of("expect_column_values_to_be_increasing", column="l_tax", order_by="l_orderkey")]
+    options = {"result_format": "COMPLETE", "partial_unexpected_count": 2000}
+    outcome = validate(lines, rules, keys=["l_orderkey"], result_format=options)
+    outcome.results, outcome.violations, outcome.report()  # noqa: B018
+    assert not context.statusTracker().getJobIdsForGroup("compile")
+    assert spark.conf.get(limit) == before
+    context.setLocalProperty("spark.jobGroup.id", None)
 
 
 def many_rules(n):
@@ -144,17 +244,6 @@ def test_many_rules_count_as_few_do(lines, monkeypatch, empty):
     assert many[0] == few[0] and many[1] == (few[1] if empty else pytest.approx(few[1]))
 
 
-def test_long_partial_lists_are_cut_before_the_shuffle(spark, lines):
-    limit = "spark.sql.optimizer.windowGroupLimitThreshold"
-    before = spark.conf.get(limit)
-    try:
-        options = {"result_format": "COMPLETE", "partial_unexpected_count": 2000}
-        outcome = validate(lines, ROW_RULES, keys=["l_orderkey"], result_format=options)
-        assert tree(outcome.results).count("WindowGroupLimit") == 4
-    finally:
-        spark.conf.set(limit, before)
-
-
 def final_scans(df) -> int:
     """Scans that really run, once adaptive execution has reused what is the same."""
     df.collect()
