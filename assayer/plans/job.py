@@ -45,10 +45,11 @@ def run_validation(
     outcome = validate(df, suite, keys=keys, result_format=result_format, run_id=run_id, run_time=run_time)
 
     def store(outcome: Validation) -> None:
-        if write is not None:
-            write(outcome.results, **(writer_kwargs or {}))
+        # The results come last: a run whose results are stored is there as a whole.
         if write_rows is not None and outcome.complete:
             write_rows(outcome.violations, **(rows_kwargs or {}))
+        if write is not None:
+            write(outcome.results, **(writer_kwargs or {}))
 
     try:
         store(outcome)

@@ -2,7 +2,15 @@
 
 from .files import read_csv, read_csv_text, write_csv
 from .objects import list_objects
-from .results import read_results, read_violations, stored_report, write_results, write_violations
+from .results import (
+    read_latest,
+    read_results,
+    read_runs,
+    read_violations,
+    stored_report,
+    write_results,
+    write_violations,
+)
 from .session import CatalogSettings, ObjectStore, build_session, remove_folder, scratch_folder, shared_folder
 from .snapshots import previous_snapshot, read_as_of, snapshot_log, write_snapshot
 
@@ -15,7 +23,9 @@ __all__ = [
     "read_as_of",
     "read_csv",
     "read_csv_text",
+    "read_latest",
     "read_results",
+    "read_runs",
     "read_violations",
     "remove_folder",
     "scratch_folder",

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .session import remove_folder, scratch_folder
+
+# The signs that Spark escapes in the folder names of partitions.
+RESERVED = "\"#%'*/:=?\\{[]^"
+
 RESULTS_SCHEMA = (
     "suite string, position int, rule_id string, expectation_type string, column_list array<string>, "
     "kwargs map<string,string>, meta map<string,string>, success boolean, element_count bigint, "
@@ -16,11 +21,32 @@ RESULTS_SCHEMA = (
 )
 
 
+RUNS = "_runs"  # the index of a results dataset; Spark's readers of the dataset pass names with _ over
+RUNS_SCHEMA = "suite string, run_time timestamp, run_id string"
+
+
 def write_results(results: DataFrame, path: str) -> None:
-    """Add a run to a JSON dataset, below ``run_id=<run>``."""
+    """Store a run in a JSON dataset, below ``run_id=<run>``, in the place of what that run has there.
+
+    The results are worked out first, then put in place, and the run's row in
+    the index comes last: a run that the index names is there as a whole.
+    """
+    spark = results.sparkSession
+    worked_out = scratch_folder(spark, "results")
     # A few rows, one per rule: one file is enough.
-    single = results.repartition(1)
-    single.write.mode("append").partitionBy("run_id").option("ignoreNullFields", False).json(path)
+    results.repartition(1).write.parquet(worked_out)
+    try:
+        made = spark.read.parquet(worked_out).withColumn("run_id", F.col("run_id").cast("string"))
+        _replace_runs(made.repartition(1)).option("ignoreNullFields", False).json(path)
+        runs = made.groupBy("run_id", "suite").agg(F.max("run_time").alias("run_time")).repartition(1)
+        _replace_runs(runs).json(f"{path}/{RUNS}")
+    finally:
+        remove_folder(spark, worked_out)
+
+
+def _replace_runs(rows: DataFrame) -> DataFrameWriter:
+    """A writer that replaces the partitions of the runs it writes and no others."""
+    return rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id")
 
 
 def read_results(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
@@ -29,9 +55,38 @@ def read_results(spark: SparkSession, path: str, run_id: str | None = None) -> D
     return stored if run_id is None else stored.filter(stored.run_id == run_id)
 
 
-def write_violations(violations: DataFrame, path: str) -> None:
-    """Add a run's offending rows, all of them, to a Parquet dataset below ``run_id=<run>``."""
-    violations.write.mode("append").partitionBy("run_id").parquet(path)
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The index of a results dataset: ``suite``, ``run_time`` and ``run_id`` of each run."""
+    return spark.read.schema(RUNS_SCHEMA).json(f"{path}/{RUNS}")
+
+
+def read_latest(spark: SparkSession, path: str) -> DataFrame:
+    """The results of the last run of each suite; of runs at one time, that with the greatest id.
+
+    The index says which runs these are.  As their ids are joined to the
+    dataset's partitions, only their folders are read, however many there are.
+    """
+    newest = Window.partitionBy("suite").orderBy(F.desc("run_time"), F.desc("run_id"))
+    last = read_runs(spark, path).withColumn("place", F.row_number().over(newest)).filter("place = 1")
+    return read_results(spark, path).join(last.select("suite", "run_id"), ["suite", "run_id"], "left_semi")
+
+
+def write_violations(violations: DataFrame, path: str, run_id: str | None = None) -> None:
+    """Store a run's offending rows, all of them, in a Parquet dataset below ``run_id=<run>``.
+
+    They take the place of the rows the run has there.  If none are left, only
+    ``run_id`` can say which run's rows are to go; name it where a run may be
+    repeated on other data.
+    """
+    seen = Observation()
+    _replace_runs(violations.observe(seen, F.count(F.lit(1)).alias("n"))).parquet(path)
+    if run_id is not None and seen.get["n"] == 0:
+        remove_folder(violations.sparkSession, f"{path}/run_id={_folder(run_id)}")
+
+
+def _folder(value: str) -> str:
+    """A value as Spark writes it in a partition's folder name."""
+    return "".join(f"%{ord(c):02X}" if c in RESERVED or ord(c) < 32 or ord(c) == 127 else c for c in value)
 
 
 def read_violations(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:

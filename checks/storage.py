@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,21 +95,22 @@ def list_stored_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mixed_objects(spark: SparkSession, sf_dir: str) -> str:
-    """A folder with files of its own, partition folders, and names that begin with _ and dot."""
+    """A folder with a file for each region, partition folders for the nations, and names that begin with _ and dot."""
     root = scratch(spark, "objects")
-    nations = given(spark, sf_dir, "nation").select("n_regionkey", F.col("n_name").alias("value"))
-    nations.write.partitionBy("n_regionkey").text(f"{root}/in")
+    nations = given(spark, sf_dir, "nation").select("n_regionkey", "n_name", F.col("n_name").alias("value"))
+    nations.write.partitionBy("n_regionkey", "n_name").text(f"{root}/in")
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     store = hadoop.Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for name in ("a b.csv", "_hidden", ".dot", "b+c.csv"):
+    regions = [r.r_name for r in given(spark, sf_dir, "region").select("r_name").collect()]
+    for name in [form.format(r) for r in regions for form in ("{}.csv", "_{}", ".{}", "a+ {}")]:
         store.create(hadoop.Path(f"{root}/in/{name}")).close()
     return root
 
 
 @_query(
     "list_objects_flat",
-    "select 'in/' || name as key from (values ('a b.csv'), ('_hidden'), ('.dot'), ('b+c.csv'), ('_SUCCESS')) x(name)"
-    " where (select count(*) from nation) > 0",
+    "select 'in/' || replace(form, '#', r_name) as key from region, (values ('#.csv'), ('_#'), ('.#'), ('a+ #')) x(form)"
+    " union all select 'in/_SUCCESS'",
 )
 def list_objects_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files beside partition folders, one level, none hidden; checksums of the local file system left out."""
@@ -115,9 +118,24 @@ def list_objects_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.filter(~F.col("key").endswith(".crc")).select("key")
 
 
-@_query("list_objects_absent", "select n_name as key from nation where n_name = 'a prefix that is nowhere'")
+PREFIXES = ["in/n_regionkey=1/", "in/n_regionkey=2/n_name=I", "in/n_regionkey=9", "nowhere/x", "in/n_regionkey=3/n_name=😀"]
+
+
+@_query(
+    "list_objects_absent",
+    "select prefix, 'in/n_regionkey=' || n_regionkey || '/n_name=' || n_name as folder from nation,"
+    f" (values {', '.join(f'({chr(39)}{p}{chr(39)})' for p in PREFIXES)}) x(prefix)"
+    " where starts_with('in/n_regionkey=' || n_regionkey || '/n_name=' || n_name || '/', prefix)",
+)
 def list_objects_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return list_objects(spark, _mixed_objects(spark, sf_dir), prefix="nowhere/x").select("key")
+    """Folders of objects under several prefixes; some are nowhere and give none."""
+    root = _mixed_objects(spark, sf_dir)
+    found = [
+        list_objects(spark, root, prefix=p, pattern=r"/part-[^/]*\.txt$", recursive=True).withColumn("prefix", F.lit(p))
+        for p in PREFIXES
+    ]
+    folder = F.regexp_extract("key", "^(.*)/[^/]*$", 1)
+    return reduce(DataFrame.unionByName, found).select("prefix", F.url_decode(folder).alias("folder")).distinct()
 
 
 # -- snapshots ------------------------------------------------------------

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from assayer import Rule, Suite, fill_for_display, latest_results, run_validation, validate
 from assayer.sources import (
     read_csv,
+    read_latest,
     read_results,
+    read_runs,
     read_violations,
     stored_report,
     write_csv,
@@ -460,7 +462,9 @@ def _stored_runs(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-PRICED_SQL = RESULTS_SQL.replace(f"from {ORDERS} t", f"from (select * from {ORDERS} o where price is not null) t")
+PRICED = f"(select * from {ORDERS} o where price is not null) t"
+PRICED_SQL = RESULTS_SQL.replace(f"from {ORDERS} t", f"from {PRICED}")
+PRICED_LISTED = listed_sql().replace(f"from {ORDERS} t", f"from {PRICED}")
 
 
 @query("sink_result_json", f"select 'first' as run_id, * from ({RESULTS_SQL}) a")
@@ -478,9 +482,55 @@ def result_by_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("latest_result", PRICED_SQL)
 def latest_result(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return short(read_latest(spark, _stored_runs(spark, sf_dir)))
+
+
+@query(
+    "latest_of_results",
+    PRICED_SQL,
+)
+def latest_of_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from results at hand, without the index."""
     return short(latest_results(read_results(spark, _stored_runs(spark, sf_dir))))
 
 
+@query(
+    "run_repeated",
+    f"""
+select 'kept' as run, 'results' as part, (select count(*) from ({RESULTS_SQL}) r)::bigint as n union all
+select 'again', 'results', (select count(*) from ({PRICED_SQL}) r) union all
+select 'kept', 'rows', (select count(*) from ({listed_sql()}) v) union all
+select 'again', 'rows', (select count(*) from ({PRICED_LISTED}) v) union all
+select run, 'index', 1 from (values ('kept'), ('again')) x(run) where (select count(*) from orders) > 0 union all
+select 'empty', 'index', 1 where (select count(*) from orders) > 0 union all
+select 'empty', 'results', (select count(*) from ({RESULTS_SQL}) r)""",
+)
+def run_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs are stored; two of them once more, one on fewer rows, one on none: each is there once, as it was last."""
+    results, rows = scratch(spark, "results"), scratch(spark, "violations")
+    orders = table(spark, sf_dir, "dirty_orders")
+    runs = [("kept", "true"), ("again", "true"), ("empty", "true"), ("again", "price is not null"), ("empty", "false")]
+    for run, condition in runs:
+        run_validation(
+            spark,
+            lambda session, condition=condition: orders.filter(condition),
+            Suite("grouped", grouped_rules()),
+            write_results,
+            write_rows=write_violations,
+            keys=KEYS,
+            result_format="COMPLETE",
+            run_id=run,
+            writer_kwargs={"path": results},
+            rows_kwargs={"path": rows, "run_id": run},
+        )
+    parts = {"results": read_results(spark, results), "rows": read_violations(spark, rows), "index": read_runs(spark, results)}
+    counted = [
+        df.groupBy(F.col("run_id").alias("run")).agg(F.count(F.lit(1)).alias("n")).withColumn("part", F.lit(part))
+        for part, df in parts.items()
+    ]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
 @query("validate_job", config_sql("1996-01-01"))
 def validate_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load a CSV, validate it by a config with parameters, write the results, read them back."""

@@ -4,6 +4,7 @@
         --config rules.json --keys order_id --run-id 20240908080000 --param since=2024-09-07
 
 By default every offending row is stored too, below ``<output>-violations``.
+A run that is repeated under its id takes the place of what it stored before.
 The keys of an object store come from AWS_ACCESS_KEY_ID and
 AWS_SECRET_ACCESS_KEY, never from the command line, where others could read
 them.  ``--config`` may lie wherever Spark can read.  ``rules.json`` holds ``[{"expectation_type": ..., "kwargs": {...}, "meta": {...}}, ...]``.
@@ -12,6 +13,7 @@ them.  ``--config`` may lie wherever Spark can read.  ``rules.json`` holds ``[{"
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
 import os
 import sys
@@ -48,17 +50,21 @@ def main(given: list[str] | None = None) -> bool:
         store = ObjectStore(args.endpoint_url, *keys)
     spark = build_session("validate_csv", store)
     config = json.loads(spark.read.text(args.config, wholetext=True).first().value)
+    run_time = dt.datetime.now(dt.timezone.utc)
+    run_id = args.run_id or run_time.strftime("%Y%m%d%H%M%S")
+    violations = args.violations or args.output.rstrip("/") + "-violations"
     outcome = run_validation(
         spark,
         lambda session: read_csv(session, args.input, args.schema, args.multi_line),
         config,
         lambda results: write_results(results, args.output),
-        write_rows=lambda rows: write_violations(rows, args.violations or args.output.rstrip("/") + "-violations"),
+        write_rows=lambda rows: write_violations(rows, violations, run_id),
         name=args.name,
         keys=args.keys,
         result_format=args.result_format,
         params=dict(p.split("=", 1) for p in args.param),
-        run_id=args.run_id,
+        run_id=run_id,
+        run_time=run_time,
     )
     # The stored results are a few rows; asking the outcome would scan the input again.
     stored = read_results(spark, args.output, outcome.run_id)

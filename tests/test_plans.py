@@ -1,15 +1,18 @@
 """The plans that matter at scale: scans, shuffles, pruning, bounded lists."""
 
 import contextlib
+import datetime as dt
 import io
 import itertools
 import re
+import shutil
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from assayer import Rule, validate
-from assayer.sources import read_as_of, read_results, write_results, write_snapshot
+from assayer.sources import read_as_of, read_latest, read_results, write_results, write_snapshot
 
 TABLES = "/root/testdata/sf0.001"
 
@@ -264,3 +267,20 @@ def test_snapshots_and_runs_are_partition_filters(spark, lines, tmp_path):
     outcome = validate(lines, ROW_RULES, run_id="r1")
     write_results(outcome.results, str(tmp_path / "results"))
     assert "PartitionFilters: [isnotnull(run_id" in plan(read_results(spark, str(tmp_path / "results"), "r1"))
+
+
+def test_the_latest_run_is_read_alone(spark, lines, tmp_path):
+    path = str(tmp_path / "results")
+    made = validate(lines, ROW_RULES[:2], run_id="r0", run_time=dt.datetime(2024, 1, 1)).results
+    write_results(made, path)
+    for i in range(1, 100):  # as that many runs would have left them, but their results cannot be read
+        shutil.copytree(tmp_path / "results" / "_runs" / "run_id=r0", tmp_path / "results" / "_runs" / f"run_id=r{i}")
+        folder = tmp_path / "results" / f"run_id=r{i}"
+        folder.mkdir()
+        (folder / "part-0.json.gz").write_bytes(b"not compressed")
+    write_results(made.withColumn("run_id", F.lit("last")).withColumn("run_time", F.lit(dt.datetime(2024, 1, 2))), path)
+    latest = read_latest(spark, path)
+    assert "dynamicpruning" in plan(latest)
+    assert {(r.run_id, r.position) for r in latest.collect()} == {("last", 0), ("last", 1)}
+    with pytest.raises(Exception, match="not in gzip|incorrect header|FAILED_READ_FILE"):
+        read_results(spark, path).collect()

@@ -2,6 +2,7 @@ from types import SimpleNamespace
 
 import pytest
 
+from assayer.sources import objects
 from assayer.sources import CatalogSettings, ObjectStore, list_objects, previous_snapshot, read_as_of, read_csv
 from assayer.sources import read_csv_text, remove_folder, scratch_folder, snapshot_log, write_csv, write_snapshot
 
@@ -57,6 +58,24 @@ def test_list_objects(spark, tmp_path):
     assert list_objects(spark, str(tmp_path), prefix="in/").first().length == 1
 
 
+def test_many_objects_are_listed_by_tasks(spark, tmp_path, monkeypatch):
+    """No key passes the driver, and the tasks agree with Hadoop's listing."""
+    for i in range(120):
+        folder = tmp_path / f"k={i % 12}" / f"v {i % 40}"
+        folder.mkdir(parents=True, exist_ok=True)
+        for j in range(20):
+            (folder / f"f{i}-{j}").write_text("x" * (j % 3))
+    made = []
+    create = type(spark).createDataFrame
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, rows, *a: made.append(len(rows)) or create(self, rows, *a))
+    found = list_objects(spark, str(tmp_path), recursive=True)
+    assert found.count() == 2400 and sum(made) == 1
+    same = objects._listed_by_driver(spark, str(tmp_path), "", "", ".*", True)
+    assert sorted(found.select("key", "length").collect()) == sorted(same.select("key", "length").collect())
+    one = list_objects(spark, f"file://{tmp_path}", prefix="k=1", pattern="f13-[01]$", recursive=True)
+    assert sorted(r.key for r in one.collect()) == ["k=1/v 13/f13-0", "k=1/v 13/f13-1"]
+
+
 def test_settings():
     store = ObjectStore("http://store:9000", "k", "s").settings()
     assert store["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000"
