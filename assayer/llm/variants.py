@@ -31,7 +31,7 @@ from .shared import cut, ship
 
 LEAST, OCCURRENCES, RATIO, DAMAGED = 6, 5, 5, 199
 LETTERS = 26 + 64
-#: Words of one length in a task, about; and the words on which the splits of all lengths are fitted.
+#: Words of one length in a leaf, about; and about how many words the splits of all lengths are fitted on.
 LEAF, SAMPLE = 4096, 50_000
 #: Words in a leaf of a task's own tree; letters compared at once.
 SMALL, CELLS = 48, 4_000_000
@@ -212,14 +212,16 @@ def search(words: list[str], queries: list[str]) -> tuple[np.ndarray, np.ndarray
 def _trees(words: DataFrame, leaf: int, sample: int) -> dict:
     """A tree for each length that has words; a number for a length of one leaf.
 
-    What is collected is a row for each length and a bounded sample of the
-    words of long lists, the same each time.
+    What is collected is a row for each length and about ``sample`` words of
+    the long lists, those whose hash is least, the same each time.
     """
     sizes = {r["length"]: r["n"] for r in words.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     large = [length for length, n in sizes.items() if n > leaf]
     trees: dict = dict.fromkeys(sizes, 0)
     if large:
-        drawn = words.filter(F.col("length").isin(large)).orderBy(F.xxhash64("word"), "word").limit(sample)
+        share = min(1.0, sample / sum(sizes[length] for length in large))
+        least = F.xxhash64("word") <= F.lit(min(2**63 - 1, int(-(2**63) + share * 2**64)))
+        drawn = words.filter(F.col("length").isin(large) & least)
         by_length: dict[int, list[str]] = {}
         for row in drawn.select("word", "length").collect():
             by_length.setdefault(row["length"], []).append(row["word"])
@@ -228,6 +230,10 @@ def _trees(words: DataFrame, leaf: int, sample: int) -> dict:
     return trees
 
 
+def _leaves(tree) -> int:
+    return _leaves(tree[2]) + _leaves(tree[3]) if isinstance(tree, tuple) else 1
+
+
 def near(words: DataFrame, leaf: int = LEAF, sample: int = SAMPLE) -> DataFrame:
     """(word, other, other_n): every two words one edit apart, in both directions; ``words`` are distinct (word, n)."""
     ship(words.sparkSession)
@@ -271,7 +277,10 @@ def near(words: DataFrame, leaf: int = LEAF, sample: int = SAMPLE) -> DataFrame:
         found.append((held.word, asked.word, asked.n))
         return pd.DataFrame({name: np.concatenate(c) for name, c in zip(("word", "other", "other_n"), zip(*found))})
 
+    # The work is in the comparing, not in the bytes: a task gets about two leaves, however few bytes they are.
+    leaves = sum(map(_leaves, trees.values()))
     dealt = words.mapInArrow(deal, "length int, leaf bigint, role int, word string, n bigint")
+    dealt = dealt.repartition(max(1, leaves // 2), "length", "leaf")
     return dealt.groupBy("length", "leaf").applyInPandas(compare, "word string, other string, other_n bigint")
 
 
