@@ -34,8 +34,8 @@ def run_validation(
     ``config`` is a suite or a list of ``{"expectation_type", "kwargs"}`` items
     whose parameters are filled from ``params``.  At the level COMPLETE all
     offending rows go to ``write_rows(violations, ...)``: a result holds only
-    its first ones.  If a rule fails on the data, the rules are run in halves
-    until it is found; it then fails alone, with its message, and the others
+    its first ones.  If a rule fails on the data, it is searched on the input
+    split that fails; it then fails alone, with its message, and the others
     keep their results.
     """
     suite = config if isinstance(config, Suite) else Suite.from_config(name, config, params)
@@ -51,12 +51,12 @@ def run_validation(
         if write is not None:
             write(outcome.results, **(writer_kwargs or {}))
 
-    try:
-        store(outcome)
-    except Exception:
-        failing = outcome.failing()
-        if not failing:
-            raise  # the writer's own fault
-        outcome = outcome.without(failing)
-        store(outcome)
-    return outcome
+    while True:
+        try:
+            store(outcome)
+            return outcome
+        except Exception:
+            failing = outcome.failing()
+            if not failing:
+                raise  # the writer's own fault
+            outcome = outcome.without(failing)

@@ -10,10 +10,12 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, replace
 from functools import cached_property, reduce
 
+from pyspark import RDD
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +39,9 @@ FUSED_SCOPES = ("column", "pair", "multi", "aggregate", "order")
 # conditions they meet; either way the table is scanned once.
 AGGREGATES = 40
 
+# A number that a hash of a row's values has as good as never.
+CERTAIN_HASH = 2**62 + 12345
+
 # Helpers between two steps of the plan of offending rows.
 PLACE, SHOWN = POSITION, "__value"
 GOOD = -1
@@ -164,8 +169,34 @@ class Validation:
         return max([self.level, *levels]) == LEVELS.index("COMPLETE")
 
     def failing(self) -> dict[int, Exception]:
-        """The rules, by position, that raise when they run; found by halving."""
+        """Rules, by position, that raise when they run.
+
+        What rows do is tried first, on splits of the input: the first half of
+        them, then half of the half that fails, until one split is left, which
+        costs one scan in all.  On that split the rules are halved until each
+        that raises is known; others may raise on other splits.  Rules that
+        fail elsewhere, in tables of their own, are halved on the whole table.
+        """
         found: dict[int, Exception] = {}
+        by_rows = {c.position: p for c in self.checks if (p := self._row_work(c)) is not None}
+        if by_rows:
+            work = self._row_rdd(list(by_rows.values()))
+            splits = list(range(work.getNumPartitions()))
+            while len(splits) > 1:
+                half = splits[: len(splits) // 2]
+                splits = half if _raises(work, half) else splits[len(splits) // 2 :]
+
+            def search_split(positions: list[int]) -> None:
+                error = _raises(self._row_rdd([by_rows[p] for p in positions]), splits)
+                if error is not None and len(positions) == 1:
+                    found[positions[0]] = error
+                elif error is not None:
+                    search_split(positions[: len(positions) // 2])
+                    search_split(positions[len(positions) // 2 :])
+
+            search_split(list(by_rows))
+        if found:
+            return found
 
         def search(checks: list[Check]) -> None:
             part = replace(self, checks=checks)
@@ -182,6 +213,20 @@ class Validation:
         search(self.checks)
         return found
 
+    def _row_work(self, check: Check) -> list[Column] | None:
+        """What a rule works out for each row; None if that is not all it does, or nothing."""
+        if check.judges_rows:
+            listed = as_column(check.listed)
+            return [as_column(check.counted), listed, F.when(listed, F.expr(check.value))]
+        if check.scope in ("duplicates", "order", "aggregate"):
+            domain = F.lit(True) if check.domain is None else as_column(check.domain)
+            return [domain, *[F.when(domain, f.col.cast("string")) for f in check.fields]]
+        return None
+
+    def _row_rdd(self, work: list[list[Column]]) -> RDD:
+        """The rows, with all of the work done for each; no row comes out but one whose work has one certain hash."""
+        return self.df.filter(F.xxhash64(*[c for columns in work for c in columns]) == CERTAIN_HASH).rdd
+
     def without(self, failing: Mapping[int, Exception]) -> "Validation":
         """The same validation, with some rules failed by what they raised."""
         checks = [failed(c.position, c.rule, failing[c.position]) if c.position in failing else c for c in self.checks]
@@ -613,6 +658,17 @@ def fill_for_display(violations: DataFrame, filler: str = "nan") -> DataFrame:
     return violations.fillna(filler)
 
 
+def _raises(work: RDD, splits: list[int]) -> Exception | None:
+    """What the work on these splits raises, if it does."""
+    try:
+        work.context.runJob(work, lambda rows: [sum(1 for _ in rows)], splits)
+    except Exception as error:  # noqa: BLE001 - whatever it is, it goes to a rule's result
+        # The cause is a line of the job's message, as a class and a text.
+        told = re.search(r"[\w.]*\.(\w+(?:Exception|Error): .+)", str(error))
+        return RuntimeError(told[1]) if told else error
+    return None
+
+
 def _texts(values: Mapping) -> dict[str, str | None]:
     def text(value):
         if value is None or isinstance(value, str):

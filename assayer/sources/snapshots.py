@@ -24,11 +24,14 @@ def read_as_of(spark: SparkSession, path: str, snapshot_id: int | None = None) -
 
 
 def snapshot_log(spark: SparkSession, path: str) -> DataFrame:
-    """One row per snapshot: its id and the rows it added."""
+    """One row per snapshot: its id and the rows it added.  No column is read, the counts are in the files' footers."""
     return spark.read.parquet(path).groupBy("snapshot_id").agg(F.count(F.lit(1)).alias("added"))
 
 
 def previous_snapshot(spark: SparkSession, path: str) -> int | None:
-    """The id of the snapshot before the last; None if there is none.  The two ids are all that is fetched."""
-    last = snapshot_log(spark, path).orderBy(F.desc("snapshot_id")).limit(2).collect()
-    return last[1].snapshot_id if len(last) == 2 else None
+    """The id of the snapshot before the last; None if there is none.  It is known from the folders' names."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    pattern = hadoop.Path(f"{path}/snapshot_id=*")
+    folders = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
+    ids = sorted(int(f.getPath().getName().removeprefix("snapshot_id=")) for f in folders or [])
+    return ids[-2] if len(ids) > 1 else None

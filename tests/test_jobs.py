@@ -69,3 +69,25 @@ def test_a_rule_that_fails_on_the_data_fails_alone(spark):
 
 def _broken(results):
     raise RuntimeError("the writer")
+
+
+def test_failing_rules_are_found_on_their_split(spark, monkeypatch):
+    """40 rules on 32 splits, one of which two rules fail on, another a third; each search costs about one scan."""
+    df = spark.range(0, 3200, 1, 32).selectExpr("id", "id % 100 as x")
+    bad = {7: "10 / (id - 250) > 1", 23: "1 / (id - 251) >= -1", 31: "10 / (id - 3000) > 1"}
+    rules = [
+        Rule.of("expect_column_values_to_be_between", column="x", max_value=90, row_condition=bad.get(i, f"id > {i}"), rule_id=f"r{i}")
+        for i in range(40)
+    ]
+    rules.append(Rule.of("expect_column_values_to_be_unique", column="x", row_condition="1 / (id - 249) > 2", rule_id="u"))
+    from assayer.plans import validate as module
+
+    tried, raises = [], module._raises
+    monkeypatch.setattr(module, "_raises", lambda work, splits: tried.append(len(splits)) or raises(work, splits))
+    stored = []
+    run_validation(spark, lambda session: df, Suite("many", rules), lambda results: stored.extend(results.collect()), keys=["id"])
+    failed = {r.rule_id: r.exception_message for r in stored if r.raised_exception}
+    assert set(failed) == {"r7", "r23", "r31", "u"} and all("DIVIDE_BY_ZERO" in m for m in failed.values())
+    assert sum(r.unexpected_count is not None for r in stored) == 37
+    # Two searches by halves, each a scan less one split, and the halving of rules on single splits.
+    assert sum(n for n in tried if n > 1) <= 2 * 32

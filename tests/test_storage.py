@@ -2,7 +2,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from assayer.sources import objects
+from assayer.sources import files, objects
 from assayer.sources import CatalogSettings, ObjectStore, list_objects, previous_snapshot, read_as_of, read_csv
 from assayer.sources import read_csv_text, remove_folder, scratch_folder, snapshot_log, write_csv, write_snapshot
 
@@ -101,3 +101,44 @@ def test_scratch_lies_in_the_shared_folder(spark):
     spark.range(1).write.parquet(path)
     remove_folder(spark, path)
     assert list_objects(spark, path, recursive=True).count() == 0
+
+
+@pytest.mark.parametrize("rows,size", [(300, 100_000_000), (300, 3000), (12, 40)])
+def test_multi_line_files_are_read_in_blocks(spark, tmp_path, rows, size):
+    """One file, cut anywhere: inside values, between quotes, in a header; read as Spark reads it in one task."""
+    path = str(tmp_path / "one.csv")
+    made = [(i, TEXTS[i % len(TEXTS)] and TEXTS[i % len(TEXTS)] * (1 + i % 3), f'x{i}\r\n"{i}"') for i in range(rows)]
+    made += [(rows, "line\n" * rows, "a"), (rows + 1, '"' * 20, "\n\n"), (rows + 2, "end", "no break")]
+    write_csv(spark.createDataFrame(made, "i int, t string, `u\nv` string").coalesce(1), str(tmp_path / "made"))
+    (part,) = (tmp_path / "made").glob("part-*.csv")
+    (tmp_path / "one.csv").write_bytes(part.read_bytes())
+    settings = {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": "0"}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = read_csv_text(spark, path)
+        assert found.columns == ["i", "t", "u\nv"]
+        assert sorted(((int(i), t, u) for i, t, u in found.collect())) == made
+        if size < 100_000:
+            assert files.records(spark, path).rdd.getNumPartitions() > 6
+        else:
+            typed = read_csv(spark, path, multi_line=True)
+            assert typed.dtypes[0] == ("i", "int") and typed.count() == len(made)
+            plain = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+            assert sorted(map(str, found.collect())) == sorted(map(str, plain.collect()))
+            assert files.records(spark, path, most_blocks=0) is None
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+
+
+def test_multi_line_odd_files(spark, tmp_path):
+    for name, text in {"a": "i,t\n", "b": "", "c": 'i,t\n1,"x\n', "d": "i,t\n\n2,y\n\n3,\"\"\n4,z"}.items():
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "f.csv").write_text(text)
+    assert read_csv(spark, str(tmp_path / "a"), "i int, t string", multi_line=True).collect() == []
+    rows = read_csv(spark, str(tmp_path / "d"), "i int, t string", multi_line=True).collect()
+    assert sorted(map(tuple, rows)) == [(2, "y"), (3, None), (4, "z")]
+    assert [r.i for r in read_csv(spark, str(tmp_path / "c"), "i int, t string", multi_line=True).collect()] == [1]
+    assert read_csv(spark, str(tmp_path / "b"), "i int, t string", multi_line=True).count() == 0
