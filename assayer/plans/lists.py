@@ -14,7 +14,7 @@ from collections.abc import Iterator, Mapping
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,33 +124,26 @@ def bounded(rows: DataFrame, keys: list[str], limit: int) -> DataFrame:
     gives them.  Without keys the first rows are those with the least values.
     """
     names = [f"key_{i}" for i in range(len(keys))]
-    shown = [F.col(_quoted(k)).alias(n) for k, n in zip(keys, names)]
-    kind = F.when(F.col(COUNT).isNull(), FIRST).otherwise(FREQUENT)
-    given = rows.select("position", "value", kind.alias("kind"), F.coalesce(COUNT, F.lit(1)).alias("n"), F.col(TIE).alias("tie"), *shown)
-    first = F.col("kind") == FIRST
-    # A count belongs to the value alone.
-    given = given.withColumns({c: F.when(first, F.col(c)) for c in ("tie", *names)})
-    met = given.groupBy("position", "kind", "value", "tie", *names).agg(F.sum("n").alias("n"))
+    kept = [f"if({COUNT} IS NULL, {c}, NULL) AS {n}" for c, n in zip([TIE, *map(_quoted, keys)], ["tie", *names])]
+    kind = f"if({COUNT} IS NULL, {FIRST}, {FREQUENT}) AS kind"
+    given = rows.selectExpr("position", "value", kind, f"coalesce({COUNT}, 1L) AS n", *kept)
+    met = given.groupBy("position", "kind", "value", "tie", *names).agg(F.expr("sum(n) AS n"))
     if not keys:
-        met = met.withColumn("kind", F.explode(F.array(F.lit(FIRST), F.lit(FREQUENT))))
-    by_count = F.when(~first, -F.col("n")).asc_nulls_last()
-    order = Window.partitionBy("position", "kind").orderBy(
-        by_count, *[F.col(c).asc_nulls_last() for c in (*names, "tie", "value")]
+        met = met.withColumn("kind", F.expr(f"explode(array({FIRST}, {FREQUENT}))"))
+    order = [f"if(kind = {FREQUENT}, -n, NULL)", *names, "tie", "value"]
+    order = ", ".join(f"{c} ASC NULLS LAST" for c in order)
+    ranked = met.selectExpr("*", f"row_number() OVER (PARTITION BY position, kind ORDER BY {order}) AS rank")
+    row = ", ".join(f"'{c}', CAST({c} AS STRING)" for c in names)
+    row = f"named_struct('rank', rank, 'value', value, 'n', n{', ' + row if row else ''})"
+    lists = ranked.filter(f"rank <= {limit}").groupBy("position").agg(
+        *[F.expr(f"array_sort(collect_list(if(kind = {k}, {row}, NULL))) AS {c}") for k, c in ((FIRST, "first"), (FREQUENT, "frequent"))]
     )
-    ranked = met.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= limit)
-    row = F.struct("rank", "value", *[F.col(c).cast("string").alias(c) for c in names], "n")
-    lists = ranked.groupBy("position").agg(
-        F.array_sort(F.collect_list(F.when(first, row))).alias("first"),
-        F.array_sort(F.collect_list(F.when(~first, row))).alias("frequent"),
-    )
-
-    def copies(r: Column) -> Column:
-        return F.array_repeat(F.struct(r["value"].alias("value"), *[r[c].alias(c) for c in names]), F.least(r["n"], F.lit(limit)).cast("int"))
-
-    return lists.select(
+    shown = ", ".join(f"'{c}', r.{c}" for c in ("value", *names))
+    copies = f"transform(first, r -> array_repeat(named_struct({shown}), int(least(r.n, {limit}))))"
+    return lists.selectExpr(
         "position",
-        F.slice(F.flatten(F.transform("first", copies)), 1, limit).alias("first"),
-        F.transform("frequent", lambda r: F.struct(r["value"].alias("value"), r["n"].alias("count"))).alias("frequent"),
+        f"slice(flatten({copies}), 1, {limit}) AS first",
+        "transform(frequent, r -> named_struct('value', r.value, 'count', r.n)) AS frequent",
     )
 
 

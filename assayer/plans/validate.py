@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.conditions import as_date, as_double
-from ..functions.sqltext import Predicate, as_column, both, ident, literal
+from ..functions.sqltext import Predicate, as_column, both, ident, literal, quote
 from ..operators.duplicates import Unique, duplicate_counts, duplicate_rows
 from ..operators.ordering import falling_rows
 from ..operators.registry import FRACTION, LIST, PERCENT_ROUNDED, Rule
@@ -91,6 +91,13 @@ RESULT_COLUMNS = [
     "run_time",
 ]
 
+# The bounded lists of a result, their types, and the least level that fills them.
+LISTS = [
+    ("partial_unexpected_list", "array<string>", 0),
+    ("partial_unexpected_index_list", "array<map<string,string>>", 1),
+    ("partial_unexpected_counts", "array<struct<value:string,count:bigint>>", 1),
+]
+
 WORKING_COLUMNS = ["about", "clean", "hash", "is_hot", "pass", "position", "rank", "salt"]
 VIOLATION_COLUMNS = ["run_id", "rule_id", "rule", "expectation_type", "column", "value"]
 
@@ -430,31 +437,28 @@ class Validation:
     @cached_property
     def graded(self) -> DataFrame:
         """The counts with percentages and success; one row per rule, no lists."""
-        n, missing, bad = F.col("element_count"), F.col("missing_count"), F.col("unexpected_count")
-        judged = F.nullif(n - F.coalesce(missing, F.lit(0)), F.lit(0))
-        every = F.nullif(n, F.lit(0))
-        style = F.col("about.percent")
-        share = bad / judged
-        good = F.when(judged.isNull(), True).otherwise((judged - bad) / judged >= F.col("about.mostly"))
+        judged = "nullif(element_count - coalesce(missing_count, 0L), 0L)"
+        every = "nullif(element_count, 0L)"
+        good = f"(CASE WHEN {judged} IS NULL THEN true ELSE ({judged} - unexpected_count) / {judged} >= about.mostly END)"
+        percent = f"100 * unexpected_count / {judged}"
         return (
             self.counts.withColumn("about", self._about)
-            .withColumn("success", F.coalesce(F.col("passed"), good))
-            .select(
+            .withColumn("success", F.expr(f"coalesce(passed, {good})"))
+            .selectExpr(
                 "position",
                 "about.*",
                 "success",
                 "element_count",
                 "missing_count",
-                (100 * missing / every).alias("missing_percent"),
+                f"100 * missing_count / {every} AS missing_percent",
                 "unexpected_count",
-                F.when(style == FRACTION, F.round(share, 4))
-                .when(style == PERCENT_ROUNDED, F.round(100 * share, 1))
-                .otherwise(100 * bad / judged)
-                .alias("unexpected_percent"),
-                (100 * bad / every).alias("unexpected_percent_total"),
-                (100 * bad / judged).alias("unexpected_percent_nonmissing"),
+                f"CASE about.percent WHEN '{FRACTION}' THEN round(unexpected_count / {judged}, 4)"
+                f" WHEN '{PERCENT_ROUNDED}' THEN round(100 * (unexpected_count / {judged}), 1)"
+                f" ELSE {percent} END AS unexpected_percent",
+                f"100 * unexpected_count / {every} AS unexpected_percent_total",
+                f"{percent} AS unexpected_percent_nonmissing",
                 "observed_value",
-                F.coalesce(F.col("listed_count") == 0, F.col("success")).alias("clean"),
+                "coalesce(listed_count = 0, success) AS clean",
             )
         )
 
@@ -462,23 +466,24 @@ class Validation:
     def results(self) -> DataFrame:
         """One row per rule, with the bounded lists the result format asks for."""
         graded = self.graded
-        lists = [c for c in ("partial_unexpected_list", "partial_unexpected_index_list", "partial_unexpected_counts")]
-        types = ["array<string>", "array<map<string,string>>", "array<struct<value:string,count:bigint>>"]
-        if self.partial_rows > 0 and self._listing_checks:
+        listed = self.partial_rows > 0 and bool(self._listing_checks)
+        if listed:
             graded = graded.join(self._partial_lists, "position", "left")
-            listing = F.col("exception_message").isNull() & F.col("unexpected_count").isNotNull()
-            for name, kind, least in zip(lists, types, (0, 1, 1)):
-                filled = F.coalesce(F.col(name), F.array().cast(kind)) if name in graded.columns else F.lit(None)
-                graded = graded.withColumn(name, F.when(listing & (F.col("level") >= least), filled.cast(kind)))
-        else:
-            for name, kind in zip(lists, types):
-                graded = graded.withColumn(name, F.lit(None).cast(kind))
+
+        def bounded_list(name: str, kind: str, least: int) -> str:
+            """The list, empty if nothing is in it, for a rule that lists rows and asks for that detail."""
+            if not listed:
+                return f"CAST(NULL AS {kind}) AS {name}"
+            asked = f"exception_message IS NULL AND unexpected_count IS NOT NULL AND level >= {least}"
+            return f"CASE WHEN {asked} THEN coalesce({name}, CAST(array() AS {kind})) END AS {name}"
+
         return graded.select(
             F.lit(self.run_id).alias("run_id"),
             F.lit(self.suite.name).alias("suite"),
-            *RESULT_COLUMNS[2:20],
-            F.when(F.col("level") >= 2, F.col("unexpected_index_query")).alias("unexpected_index_query"),
-            F.col("exception_message").isNotNull().alias("raised_exception"),
+            *RESULT_COLUMNS[2:17],
+            *[F.expr(bounded_list(*column)) for column in LISTS],
+            F.expr("if(level >= 2, unexpected_index_query, NULL) AS unexpected_index_query"),
+            F.expr("exception_message IS NOT NULL AS raised_exception"),
             "exception_message",
             "exception_traceback",
             F.lit(self.run_time).alias("run_time"),
@@ -583,17 +588,13 @@ class Validation:
         rows = reduce(DataFrame.unionByName, [p.select(*head, *keys) for p in parts])
         lists = bounded(rows, self.keys, self.partial_rows)
 
-        def index(row: Column) -> Column:
-            pairs = [part for i, k in enumerate(self.keys) for part in (F.lit(k), row[f"key_{i}"])]
-            return F.create_map(*pairs).cast("map<string,string>")
-
-        return lists.select(
+        index = ", ".join(f"{quote(k)}, r.key_{i}" for i, k in enumerate(self.keys))
+        return lists.selectExpr(
             "position",
-            F.transform("first", lambda row: row["value"]).alias("partial_unexpected_list"),
-            (F.transform("first", index) if self.keys else F.lit(None).cast("array<map<string,string>>")).alias(
-                "partial_unexpected_index_list"
-            ),
-            F.col("frequent").alias("partial_unexpected_counts"),
+            "transform(first, r -> r.value) AS partial_unexpected_list",
+            (f"transform(first, r -> map({index}))" if index else "CAST(NULL AS array<map<string,string>>)")
+            + " AS partial_unexpected_index_list",
+            "frequent AS partial_unexpected_counts",
         )
 
     def _key_columns(self, rows: DataFrame) -> list[Column]:

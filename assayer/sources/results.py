@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .session import remove_folder, scratch_folder
+from .session import remove_folder
 
 # The signs that Spark escapes in the folder names of partitions.
 RESERVED = "\"#%'*/:=?\\{[]^"
@@ -28,20 +28,16 @@ RUNS_SCHEMA = "suite string, run_time timestamp, run_id string"
 def write_results(results: DataFrame, path: str) -> None:
     """Store a run in a JSON dataset, below ``run_id=<run>``, in the place of what that run has there.
 
-    The results are worked out first, then put in place, and the run's row in
-    the index comes last: a run that the index names is there as a whole.
+    Spark puts the run's files in place when all are written, and the run's
+    row in the index comes last: a run that the index names is there as a whole.
     """
-    spark = results.sparkSession
-    worked_out = scratch_folder(spark, "results")
+    seen = Observation()
+    runs = F.collect_set(F.struct("suite", "run_time", F.col("run_id").cast("string").alias("run_id")))
     # A few rows, one per rule: one file is enough.
-    results.repartition(1).write.parquet(worked_out)
-    try:
-        made = spark.read.parquet(worked_out).withColumn("run_id", F.col("run_id").cast("string"))
-        _replace_runs(made.repartition(1)).option("ignoreNullFields", False).json(path)
-        runs = made.groupBy("run_id", "suite").agg(F.max("run_time").alias("run_time")).repartition(1)
-        _replace_runs(runs).json(f"{path}/{RUNS}")
-    finally:
-        remove_folder(spark, worked_out)
+    single = results.repartition(1).observe(seen, runs.alias("runs"))
+    _replace_runs(single).option("ignoreNullFields", False).json(path)
+    known = results.sparkSession.createDataFrame([tuple(r) for r in seen.get["runs"]], RUNS_SCHEMA)
+    _replace_runs(known.repartition(1)).json(f"{path}/{RUNS}")
 
 
 def _replace_runs(rows: DataFrame) -> DataFrameWriter:
