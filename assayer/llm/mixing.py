@@ -163,7 +163,7 @@ r as (select d.doc_id, d.size, t.source_size, t.target, a, b,
 n as (select *, words - rounds * source_size as rest,
              rounds * size + greatest(0, least(size, words - rounds * source_size - before)) as taken from r),
 m as (select *, (rounds * before + least(before, rest) + taken / 2) / words * (a + b) / 2 as asked from n)
-select doc_id, size, source_size, round(target, 3) as target, cast(taken as bigint) as taken,
+select doc_id, size, source_size, target, cast(taken as bigint) as taken,
        round(case when taken > 0 then 2 * asked / (a + sqrt(a * a + 2 * (b - a) * asked)) end, 9) as position
 from m
 """

@@ -85,7 +85,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         "size",
         "source_size",
-        F.round("target", 3).alias("target"),
+        "target",
         "taken",
         F.round("position", 9).alias("position"),
     )

@@ -34,6 +34,8 @@ DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 PACKAGE_BYTES = 256 << 20
 #: Records next to each other are fetched together up to so many bytes.
 RANGE_BYTES = 4 << 20
+#: Bytes of ranges, compressed, that a task reads, about.
+TASK_BYTES = 8 << 20
 #: Up to so many digests of repeated payloads are broadcast, 50 bytes each; more are joined by a shuffle.
 BROADCAST_DIGESTS = 100_000
 PAGE = "urn:page:"
@@ -293,8 +295,11 @@ def read(packages: DataFrame, payloads: bool = False) -> DataFrame:
         "page_id bigint, url string, record_type string, payload_digest string, payload_bytes bigint, refers_to bigint"
         + (", payload binary" if payloads else "")
     )
-    # The ranges are dealt anew: one package is read by many tasks.
-    return places.repartition(F.col("path"), F.col("start")).mapInArrow(fetch, schema)
+    # The ranges are dealt anew, so that one package is read by many tasks.  Their rows are few and small whatever
+    # they stand for, so the number of tasks comes from the bytes to be read.
+    places = cut(places)
+    size = places.agg(F.sum("size")).first()[0] or 0
+    return places.repartition(-(-size // TASK_BYTES) or 1, "path", "start").mapInArrow(fetch, schema)
 
 
 def prepared(pages: DataFrame, least: int = 0) -> DataFrame:
