@@ -83,6 +83,16 @@ def test_archive_round_trip(spark):
         row = got[page_id]
         assert row.payload_bytes == len(raw)
         assert row.payload_digest == base64.b32encode(hashlib.sha1(raw).digest()).decode()
+        last = max(pages.page_id[pages.html == text])
+        assert (row.record_type, row.refers_to) == (("response", None) if last == page_id else ("revisit", last))
+
+
+def test_archives_are_read_by_many_tasks(spark, monkeypatch):
+    """The number of tasks comes from the bytes, not from the few rows that name the ranges."""
+    monkeypatch.setattr(warc, "TASK_BYTES", 10_000)
+    found = warc.archive(spark.read.parquet(f"{MEDIUM}/pages.parquet").repartition(16))
+    tasks = found.select("page_id").rdd.glom().map(len).collect()
+    assert sum(tasks) == len(pandas("pages", MEDIUM)) and sum(n > 0 for n in tasks) >= 5
 
 
 def test_archive_payloads_and_revisits(spark):
