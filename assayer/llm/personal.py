@@ -3,12 +3,16 @@
 The patterns find e-mail addresses, IP addresses, payment cards and phone
 numbers.  The network, trained in numpy on windows whose spans the patterns
 have labelled, and on other spellings of those spans, reads overlapping
-windows of a text's characters, tags them (begin, inside, outside, by kind) by
-the best path, and what the windows of a text propose is reconciled over the
-whole text.  What the patterns found stays; the network adds to it.
-
-All four kinds hold a digit or an @, and so must each span; a window without
-one can't hold a span and is not read.
+windows of a text's characters and gives each character the probabilities of
+its tags (begin, inside, outside, by kind).  Where windows overlap these are
+averaged, the more weight the farther from a window's edge, and the stretch
+that the windows cover is decoded once, by the best path; so where a span
+begins in a window doesn't matter.  What the patterns found stays; the network
+adds to it.
+
+All four kinds hold a digit or an @, and so must each span.  Windows are read
+around each of these, with one more window on either side; a text is read in
+blocks of windows that overlap, so its length takes no memory.
 """
 
 from __future__ import annotations
@@ -27,12 +31,17 @@ from .shared import ship
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, STRIDE = 64, 32
-HIDDEN, STEPS, BATCH, RATE = 16, 750, 32, 0.02
+HIDDEN, STEPS, BATCH, RATE = 16, 1500, 32, 0.02
 #: Texts that the network is trained on, at most, the longest of them in characters, and windows taken from them.
-SAMPLE, SAMPLE_CHARS, SAMPLE_WINDOWS = 300, 20_000, 1500
+SAMPLE, SAMPLE_CHARS, SAMPLE_WINDOWS = 300, 20_000, 3000
 #: A span that the network adds has at least this mean probability of its tags.
 CONFIDENT = 0.9
 
+#: Windows read at a time, and those that two blocks of one text share; no span is longer than what they cover.
+BLOCK, OVERLAP = 4096, 16
+#: A character outside with this probability ends a stretch; a longer stretch than this is cut.
+SURELY_OUTSIDE, LONGEST = 0.95, 4096
+
 Span = tuple[int, int, int]  # kind, start, end
 
 
@@ -45,6 +54,8 @@ ADDRESS = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TRIGGER = re.compile(r"[0-9@]")
+# What a text with a span looks like, without the checks of its numbers; it chooses texts to learn from.
+ALIKE = r"@[A-Za-z0-9-]+[.]|[0-9]+([.][0-9]+){3}|[0-9]([ -]?[0-9]){12}|[+][0-9][ ().0-9-]{7}"
 
 
 def luhn(digits: str) -> bool:
@@ -115,13 +126,13 @@ def classes(text: str) -> np.ndarray:
     return np.where(codes < 128, _TABLE[np.minimum(codes, 127)], 6)
 
 
-def window_starts(text: str) -> list[int]:
-    """Where the windows begin that hold a digit or an @; they overlap by half."""
+def window_starts(text: str, margin: int = 0) -> list[int]:
+    """Where the windows begin that hold a digit or an @, and ``margin`` more on either side; they overlap by half."""
     starts: set[int] = set()
     for match in TRIGGER.finditer(text):
         step = match.start() // STRIDE
-        starts.update(s * STRIDE for s in (step - 1, step) if s >= 0)
-    return sorted(starts)
+        starts.update(range(max(0, step - 1 - margin) * STRIDE, (step + margin) * STRIDE + 1, STRIDE))
+    return sorted(s for s in starts if s < len(text))
 
 
 def cut_windows(codes: np.ndarray, starts: list[int]) -> np.ndarray:
@@ -324,7 +335,12 @@ def training_windows(texts: list[str], limit: int = SAMPLE_WINDOWS, seed: int =
     if not xs:
         return np.zeros((0, WINDOW), np.int64), np.zeros((0, WINDOW), np.int64)
     x, y = np.concatenate(xs), np.concatenate(ys)
-    chosen = draw.permutation(len(x))[:limit]
+    # Half of the windows have a span, as far as there are as many.
+    order = draw.permutation(len(x))
+    has = (y[order] > 0).any(axis=1)
+    some, none = order[has], order[~has]
+    n_some = min(len(some), max(limit // 2, limit - len(none)))
+    chosen = draw.permutation(np.r_[some[:n_some], none[: limit - n_some]])
     return x[chosen], y[chosen]
 
 
@@ -343,41 +359,103 @@ def plausible(kind: int, span: str) -> bool:
     return 9 <= len(digits) <= 15 and not re.search("[A-Za-z]", span)
 
 
+def _blocks(texts: list[str]) -> Iterator[tuple[int, list[int]]]:
+    """(text, window starts): BLOCK windows at most; blocks of one text share OVERLAP windows."""
+    for number, text in enumerate(texts):
+        starts = window_starts(text, margin=1)
+        for at in range(0, max(1, len(starts) - OVERLAP), BLOCK - OVERLAP):
+            if starts:
+                yield number, starts[at : at + BLOCK]
+
+
 def proposals(texts: list[str], model: dict[str, np.ndarray]) -> list[list[tuple[float, Span]]]:
-    """For each text the spans that its windows propose, with their mean probability."""
-    starts = [window_starts(t) for t in texts]
+    """For each text the spans that the network proposes, with their mean probability."""
     found: list[list[tuple[float, Span]]] = [[] for _ in texts]
-    owners = np.repeat(np.arange(len(texts)), [len(s) for s in starts])
-    places = np.array([s for own in starts for s in own], np.int64)
-    rows = [cut_windows(classes(t), s) for t, s in zip(texts, starts) if s]
-    if not rows:
+    group: list[tuple[int, list[int]]] = []
+
+    def work() -> None:
+        for (number, _), spans in zip(group, _decoded([(texts[n], starts) for n, starts in group], model)):
+            found[number] += [x for x in spans if x not in found[number][-2 * OVERLAP :]]
+        group.clear()
+
+    for block in _blocks(texts):
+        group.append(block)
+        if sum(len(starts) for _, starts in group) >= BLOCK:
+            work()
+    work()
+    return found
+
+
+def _decoded(blocks: list[tuple[str, list[int]]], model: dict[str, np.ndarray]) -> list[list[tuple[float, Span]]]:
+    """The spans of each block: its windows' averaged probabilities, decoded along each stretch."""
+    found: list[list[tuple[float, Span]]] = [[] for _ in blocks]
+    if not blocks:
         return found
-    x = np.concatenate(rows)
+    x = np.concatenate([cut_windows(classes(text[starts[0] : starts[-1] + WINDOW]), [s - starts[0] for s in starts]) for text, starts in blocks])
+    owner = np.repeat(np.arange(len(blocks)), [len(starts) for _, starts in blocks])
+    first = np.concatenate([starts for _, starts in blocks])
+    # A place for each character of a stretch: windows that overlap share places.
+    step = np.minimum(np.diff(first, prepend=first[0]), WINDOW)
+    step[np.r_[True, owner[1:] != owner[:-1]]] = WINDOW
+    place = np.cumsum(step) - WINDOW
+    total = np.zeros((place[-1] + WINDOW, TAGS))
+    weights = np.zeros(len(total))
+    inner = np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1)).astype(float)
     for at in range(0, len(x), 512):
-        part = x[at : at + 512]
-        scores = forward(model, part)[0]
-        path = best_path(model, scores)
-        probable = chain(model, scores.astype(np.float64))[0]
-        for row in np.flatnonzero((path > 0).any(axis=1)):
-            text, place, tags = texts[owners[at + row]], int(places[at + row]), path[row]
-            t = 0
-            while t < WINDOW:
-                if tags[t] == 0:
-                    t += 1
-                    continue
-                end = t + 1
-                while end < WINDOW and tags[end] == tags[t] + 1:
-                    end += 1
-                # What touches the window's edge is cut there; the next window has it whole.
-                inside = (t > 0 or place == 0) and (end < WINDOW or place + WINDOW >= len(text))
-                span = ((int(tags[t]) - 1) // 2, place + t, min(place + end, len(text)))
-                sure = float(probable[row, np.arange(t, end), tags[t:end]].mean())
-                if inside and sure >= CONFIDENT and plausible(span[0], text[span[1] : span[2]]):
-                    found[owners[at + row]].append((sure, span))
-                t = end
+        scores = forward(model, x[at : at + 512])[0].astype(np.float64)
+        probable = chain(model, scores)[0] * inner[:, None]
+        rows = place[at : at + 512, None] + np.arange(WINDOW)
+        for half in (slice(0, None, 2), slice(1, None, 2)):  # of every second window no two overlap
+            total[rows[half]] += probable[half]
+            weights[rows[half]] += inner
+    total /= weights[:, None]
+    char = np.empty(len(total), np.int64)
+    char[place[:, None] + np.arange(WINDOW)] = first[:, None] + np.arange(WINDOW)
+    of = np.empty(len(total), np.int64)
+    of[place[:, None] + np.arange(WINDOW)] = owner[:, None]
+    # Where a character is surely outside the path is; each stretch between is decoded by itself.
+    open_ = total[:, 0] < SURELY_OUTSIDE
+    joins = np.r_[False, (char[1:] == char[:-1] + 1) & (of[1:] == of[:-1])]
+    begins = np.flatnonzero(open_ & ~(joins & np.r_[False, open_[:-1]]))
+    ends = np.flatnonzero(open_ & ~np.r_[(joins & open_)[1:], False]) + 1
+    stretches = [(a, min(a + LONGEST, b)) for s, b in zip(begins, ends) for a in range(s, b, LONGEST)]
+    for path, (a, b) in _paths(total, stretches):
+        block = int(of[a])
+        text, starts = blocks[block]
+        t = 0
+        while t < b - a:
+            if path[t] == 0:
+                t += 1
+                continue
+            end = t + 1
+            while end < b - a and path[end] == path[t] + 1:
+                end += 1
+            span = ((int(path[t]) - 1) // 2, int(char[a + t]), min(int(char[a + end - 1]) + 1, len(text)))
+            # What touches an end of the block's windows may go on beyond it; the next block has it whole.
+            inside = (span[1] > starts[0] or starts[0] == 0) and (span[2] < starts[-1] + WINDOW or span[2] == len(text))
+            sure = float(total[np.arange(a + t, a + end), path[t:end]].mean())
+            if inside and sure >= CONFIDENT and plausible(span[0], text[span[1] : span[2]]):
+                found[block].append((sure, span))
+            t = end
     return found
 
 
+def _paths(probable: np.ndarray, stretches: list[tuple[int, int]]) -> Iterator[tuple[np.ndarray, tuple[int, int]]]:
+    """The best allowed path of each stretch, by its characters' probabilities; stretches of like length go together."""
+    moves = np.where(ALLOWED, 0.0, -1e9)
+    by_length = sorted(stretches, key=lambda s: s[1] - s[0])
+    for at in range(0, len(by_length), 256):
+        part = by_length[at : at + 256]
+        length = max(b - a for a, b in part)
+        scores = np.zeros((len(part), length, TAGS))
+        scores[:, :, 1:] = -1e6  # beyond a stretch's end all is outside
+        for row, (a, b) in enumerate(part):
+            scores[row, : b - a] = np.log(probable[a:b] + 1e-12)
+        model = {"moves": moves, "first": np.zeros(TAGS)}
+        for path, own in zip(best_path(model, scores), part):
+            yield path[: own[1] - own[0]], own
+
+
 def reconciled(base: list[Span], proposed: list[tuple[float, Span]]) -> list[Span]:
     """The patterns' spans, and of the proposals those without overlap that are surest in sum."""
     taken = sorted((s[1], s[2]) for s in base)
@@ -402,12 +480,20 @@ def listed(spans: list[Span]) -> str:
 
 
 def fit(docs: DataFrame) -> dict[str, np.ndarray] | None:
-    """A network from a bounded sample of texts with a digit or an @, first in the order of a hash; None if there are none."""
+    """A network from a bounded sample of texts, half with what looks like a span and half without; None if none has.
+
+    Of each half the first texts in the order of a hash of the id are taken,
+    of texts with one id one of the least.
+    """
     given = docs.filter((F.length("text") <= SAMPLE_CHARS) & F.col("text").rlike("[0-9@]"))
-    # The ids come first: each task sends that many of them, and the texts are fetched for the few that were chosen.
-    ids = given.select(F.col("doc_id").alias("_id")).orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE).distinct()
-    rows = given.join(F.broadcast(ids), F.col("doc_id").eqNullSafe(F.col("_id"))).select("text").limit(4 * SAMPLE)
-    x, y = training_windows(sorted({r.text for r in rows.collect()}))
+    texts: set[str] = set()
+    for alike in (F.col("text").rlike(ALIKE), ~F.col("text").rlike(ALIKE)):
+        # The ids come first: each task sends that many of them, and the texts are fetched for the few that were chosen.
+        own = given.filter(alike)
+        ids = own.select(F.col("doc_id").alias("_id")).orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE // 2).distinct()
+        rows = own.join(F.broadcast(ids), F.col("doc_id").eqNullSafe(F.col("_id")))
+        texts |= {r.text for r in rows.groupBy("doc_id").agg(F.min("text").alias("text")).collect()}
+    x, y = training_windows(sorted(texts))
     return train(x, y) if y.any() else None
 
 

@@ -281,6 +281,52 @@ def test_network_finds_held_out_spans_and_other_spellings(network):
         assert [s[0] for s in spans] == [kind] and not personal.base_spans(text)
 
 
+def test_network_finds_spans_wherever_they_begin(network):
+    """Respelled spans, up to 46 characters long, at every offset to the windows; spans across the blocks of a long text."""
+    model, _ = network
+    filler = "thon erou ndwh erin the ha tion ingl sost oth nda bri vel "
+    spans = ["firstname.lastname.long @ mail.company.example", "(988) 555-2485", "4111.1111.1111.1111", "jo@mail . example . org"]
+    total = found = 0
+    texts, wanted = [], []
+    for span in spans:
+        for offset in range(64):
+            before = (filler * 3)[: 70 + offset].rstrip() + " "
+            before = before.ljust(70 + offset, "e")[:-1] + " "
+            texts.append(f"{before}{span} {filler}")
+            wanted.append((len(before), len(before) + len(span)))
+    for text, want, proposed in zip(texts, wanted, personal.proposals(texts, model)):
+        spans_found = personal.reconciled(personal.base_spans(text), proposed)
+        total += 1
+        found += any((s, e) == want for _, s, e in spans_found)
+    assert found >= 0.9 * total
+
+
+def test_long_texts_are_read_in_blocks(network, monkeypatch):
+    model, texts = network
+    whole = "\n".join(texts[:60])
+    one = personal.proposals([whole], model)
+    assert len(one[0]) > 20
+    monkeypatch.setattr(personal, "BLOCK", 40)
+    many = personal.proposals([whole], model)
+    assert sorted({s for _, s in many[0]}) == sorted({s for _, s in one[0]})
+    digits = personal.proposals(["1 2-3 " * 40_000], model)  # all of it one stretch
+    assert len(digits) == 1
+
+
+def test_find_against_plain_patterns(spark):
+    docs = pandas("documents")
+    rows = {r.doc_id: r for r in queries.QUERIES["op10_personal"](spark, SMALL).collect()}
+    assert len(rows) == len(docs)
+    for doc_id, text in zip(docs.doc_id, docs.text):
+        spans = sorted(naive_spans(text))
+        row = rows[doc_id]
+        own = [f"{personal.KINDS[k]}:{s}:{e}" for k, s, e in spans]
+        counts = [sum(k == kind for k, _, _ in spans) for kind in range(4)]
+        assert [row.n_email, row.n_ip, row.n_card, row.n_phone] == counts
+        assert row.base_sha256 == hashlib.sha256(",".join(own).encode()).hexdigest()
+        assert set(own) <= set(row.spans.split(",")) | {""}
+
+
 def test_network_is_the_same_each_time(network):
     x, y = personal.training_windows(network[1][:20])
     one, two = personal.train(x, y, steps=5), personal.train(x, y, steps=5)
