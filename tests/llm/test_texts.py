@@ -96,6 +96,50 @@ def test_licences_found_in_altered_wording(spark):
     }
 
 
+GPL_HEAD = (
+    "This {} is free software: you can redistribute it and/or modify it under the terms of the GNU {}General"
+    " Public License as published by the Free Software Foundation, either version {} of the License, or any later"
+)
+
+
+@pytest.mark.parametrize(
+    "text,ids,restricted",
+    [
+        ("Copyright 2020. All rights reserved.", "reserved", True),
+        ("ALL RIGHTS  RESERVED", "reserved", True),
+        ("not all rights were reserved", "", False),
+        ("All rights reserved. Redistribution and use in source and binary forms, with or without modification, are"
+         " permitted provided that the following conditions are met", "BSD-3-Clause,reserved", False),
+        ("This work is licensed under the GNU General Public License, version 2", "GPL-2.0", True),
+        ("This work is licensed under the GNU General Public License, version 3", "GPL-3.0", True),
+        (GPL_HEAD.format("program", "", "2"), "GPL-2.0", True),
+        (GPL_HEAD.format("program", "", "3"), "GPL-3.0", True),
+        (GPL_HEAD.format("program", "Affero ", "3"), "AGPL-3.0", True),
+        (GPL_HEAD.format("library", "Lesser ", "3"), "LGPL-3.0", True),
+        (GPL_HEAD.format("library", "Lesser ", "2.1"), "LGPL-2.1", True),
+        ("licensed under CC BY-NC-SA 4.0", "CC-BY-NC-SA-4.0", True),
+        ("licensed under CC BY-NC-ND 4.0", "CC-BY-NC-ND-4.0", True),
+        ("licensed under CC BY-ND 4.0", "CC-BY-ND-4.0", True),
+        ("Licensed under CC BY-SA 4.0", "CC-BY-SA-4.0", True),
+        ("Licensed under CC BY 4.0", "CC-BY-4.0", False),
+        ("Licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License", "CC-BY-NC-SA-4.0", True),
+        ("Licensed under a Creative Commons Attribution-NonCommercial 4.0 International License", "CC-BY-NC-4.0", True),
+        ("This document is proprietary and confidential.", "proprietary", True),
+        ("one", "", False),
+    ],
+)
+def test_licence_families_and_versions(licence_rows, text, ids, restricted):
+    assert licence_rows[text] == (ids, restricted)
+
+
+@pytest.fixture(scope="module")
+def licence_rows(spark):
+    marks = test_licence_families_and_versions.pytestmark[0].args[1]
+    rows = [(i, "before it " + "a b c " * 30 * (i % 2) + t + " and after" * (i % 3)) for i, (t, _, _) in enumerate(marks)]
+    found = licenses.scan(spark.createDataFrame(rows, "doc_id int, text string")).collect()
+    return {marks[r.doc_id][0]: (r.licenses, r.restricted) for r in found}
+
+
 def test_licences_stay_in_the_jvm_without_shuffle(spark):
     plan = licenses.scan(spark.read.parquet(f"{SMALL}/documents.parquet"))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Exchange", plan)
