@@ -227,6 +227,31 @@ def test_names_and_marks_set_aside():
     assert wrappers.extract(shell.format(inner)) == "one"
 
 
+def test_names_inside_an_article_are_whole_names():
+    """Ids and classes that name a subject keep their text; whole names of containers set aside."""
+    kept = (
+        "<h2 id='related-work'>Related work</h2><p class='copyright-law'>On copyright</p><div id='search-results'>Results</div>"
+        "<section id='legal-status' class='status-of-cookies'><p>Legal</p></section><h3 id='comment-on-method' class=notice>Method</h3>"
+        "<div class='notice-of-failure'>failure</div><ul id=menu-of-the-day><li>soup</ul><div class='entry-content form-factor'>form</div>"
+        "<section id=related><p>is text</p></section>"
+    )
+    gone = (
+        "<div class='share-buttons'>s</div><div class='ad'>a</div><div role=navigation>n</div><ul class='menu-list'><li>m</ul>"
+        "<section id=comments><p>c</p></section><div id='disqus_thread'>d</div><aside>e</aside><div class='x cookie-notice'>k</div>"
+        "<div class='comment-list'>z</div>"
+    )
+    text = "Related work On copyright Results Legal Method failure soup form is text rest"
+    assert wrappers.extract(f"<body><article>{kept}{gone}<p>rest</p></article>") == text
+
+
+def test_text_of_equal_very_long_and_repeated_pages(spark):
+    """Repeated rows are read each; a page of millions of characters is read whole."""
+    long = "<article>" + "<h2>a b</h2><p>word &amp; word</p>" * 60_000 + "</article>"
+    rows = [(1, "http://a.example/", long), (1, "http://a.example/", long), (2, "http://a.example/", "<article>x</article>")]
+    found = wrappers.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert sorted((r.page_id, r.n_chars) for r in found) == [(1, 60_000 * 16 - 1)] * 2 + [(2, 1)]
+
+
 def test_broken_pages_take_no_long_time():
     for text in ("<div a='" * 20_000, "<div>" * 20_000, "<p><b>x" * 20_000, "<" * 50_000, "<!--" * 20_000, "</p>" * 20_000):
         wrappers.extract(text)
