@@ -213,6 +213,27 @@ def test_wrapper_sets_the_template_aside(spark):
     assert wrappers.main_text(df.limit(0)).count() == 0
 
 
+def test_two_templates_of_one_host(spark):
+    """Neither has an article element; each is read by the wrapper of its own template."""
+
+    def shop(i):
+        return (
+            f"<html><body><table class=frame><tr><td class=left><p>Contact us by mail</p></td><td class=mid><div class=text>"
+            f"<h1>Offer {i}</h1><p>long words of offer {i}</p></div></td></tr></table><section class=end>Imprint of site</section></body></html>"
+        )
+
+    rows = [(i, f"http://h.example/{i}", page(i) if i % 2 else shop(i)) for i in range(24)]
+    long = page(99).replace("text 99", "text 99 " + "and " * 40_000)
+    rows += [(99, "http://long.example/", long)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in wrappers.main_text(df).collect()}
+    for i in range(24):
+        assert got[i] == (f"T{i} text {i} one two bold {i}" if i % 2 else f"Offer {i} long words of offer {i}")
+    assert got[99].startswith("T99 text 99 and and") and got[99].endswith("bold 99")
+    # Without the wrappers what stands around would be read too.
+    assert "Our site is best." in wrappers.extract(rows[1][2]) and "Imprint" in wrappers.extract(rows[0][2])
+
+
 def test_names_and_marks_set_aside():
     text = (
         "<body><header><h1>Site</h1></header><nav>n</nav><main><article><header><h1>T &lt;x&gt;</h1></header><p>one <i>tw</i>o"
