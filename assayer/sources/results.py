@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -59,12 +62,13 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
     """The results of the last run of each suite; of runs at one time, that with the greatest id.
 
-    The index says which runs these are.  As their ids are joined to the
-    dataset's partitions, only their folders are read, however many there are.
+    The index says which runs these are, one row for each suite; only their
+    folders are read, however many runs there are.
     """
-    newest = Window.partitionBy("suite").orderBy(F.desc("run_time"), F.desc("run_id"))
-    last = read_runs(spark, path).withColumn("place", F.row_number().over(newest)).filter("place = 1")
-    return read_results(spark, path).join(last.select("suite", "run_id"), ["suite", "run_id"], "left_semi")
+    newest = read_runs(spark, path).groupBy("suite").agg(F.max(F.struct("run_time", "run_id")).alias("newest"))
+    last = [(r["suite"], r["newest"]["run_id"]) for r in newest.collect()]
+    stored = read_results(spark, path).filter(F.col("run_id").isin(sorted({run for _, run in last})))
+    return stored.filter(reduce(or_, [(F.col("suite") == s) & (F.col("run_id") == r) for s, r in last], F.lit(False)))
 
 
 def write_violations(violations: DataFrame, path: str, run_id: str | None = None) -> None:
