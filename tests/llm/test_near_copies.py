@@ -1,6 +1,7 @@
 """SimHash, cover trees and components against brute force."""
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -123,6 +124,77 @@ def test_cover_tree_covers_and_halves():
         stack += node.children
 
 
+def written(spark):
+    """Bytes of the files that now hold shuffles and checkpoints, by path."""
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    found = {files.apply(i).getPath(): files.apply(i).length() for i in range(files.size())}
+    kept = (spark.sparkContext.getCheckpointDir() or "file:/nowhere").removeprefix("file:")
+    return found | {str(p): p.stat().st_size for p in Path(kept).rglob("*") if p.is_file()}
+
+
+def test_cover_tree_writes_no_pairs(spark):
+    """What is written grows with the vectors, not with the pairs of blocks that are compared."""
+    draw = np.random.default_rng(6)
+    rows = [(k, [float(x) for x in draw.normal(size=64)]) for k in range(3000)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    assert covertree.near_copies(df.limit(10), block=40).count() == 10
+    before = written(spark)
+    assert covertree.near_copies(df, block=40).agg(F.sum("n_links")).first()[0] == 0
+    more = sum(size for path, size in written(spark).items() if path not in before)
+    assert more < 6 * 3000 * 64 * 4
+
+
+def spread(draw):
+    """Groups of vectors, from equal ones to some that hardly link."""
+    scales = np.linspace(0, 0.6, 13)
+    return [np.float32(draw.normal(size=(1, 64)) + draw.normal(size=(40, 64)) * scale) for scale in scales]
+
+
+def test_cover_tree_visits_count_each_pair_once(monkeypatch):
+    """Two chunks against themselves and each other, in small tiles, by balls whose trees are opened."""
+    for name, value in {"TILE": 2048, "GUESTS": 32, "HELD": 16, "LEAF": 4}.items():
+        monkeypatch.setattr(covertree, name, value)
+    draw = np.random.default_rng(3)
+    rows = draw.permutation(np.concatenate(spread(draw)))
+    units = covertree._units(rows)
+    pivots = units[:20].astype(np.float32)
+    cells = (units @ pivots.T).argmax(axis=1)
+    sides = []
+    for half in (np.arange(0, len(rows), 2), np.arange(1, len(rows), 2)):
+        at = half[np.argsort(cells[half], kind="stable")]
+        sides.append(covertree.Side.of(at, cells[at], rows[at], pivots, covertree.limit_of(0.9), 30))
+    assert max(s.sizes.max() for s in sides) > covertree.LEAF
+    got = np.zeros(len(rows), int)
+    for side in sides:
+        np.add.at(got, side.rids, np.repeat(side.sizes, side.sizes) - 1)
+    for one in sides:
+        for two in sides:
+            visits = covertree.Visits(one, two, 0.9, covertree._first(64, pivots))
+            visits.run()
+            for row in visits.found().to_pylist():
+                side = one if row["rid"] in one.rids else two
+                place = int(np.flatnonzero(side.rids == row["rid"])[0])
+                ball = int(np.searchsorted(side.bounds, place, side="right")) - 1
+                members = side.rids[side.bounds[ball] : side.bounds[ball + 1]] if row["ball"] else [row["rid"]]
+                got[members] += row["n"]
+    assert (got == (units @ units.T >= 0.9).sum(axis=1) - 1).all()
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_cover_tree_across_chunks(spark, monkeypatch, kind):
+    """Groups from tight to wider than the limit and copies, dealt to several chunks."""
+    monkeypatch.setattr(covertree, "LEAST", 64)
+    monkeypatch.setattr(covertree, "SAMPLE", 500)
+    draw = np.random.default_rng(9)
+    groups = spread(draw)
+    groups += [np.float32(draw.normal(size=(1, 2)) + draw.normal(size=(60, 2)) * 0.5), np.ones((90, 64), np.float32)]
+    rows = [[float(x) for x in v] for g in groups for v in g] + [None, [], [0.0] * 64, [float("nan")] * 2]
+    rows = [(int(i), v) for i, v in zip(draw.permutation(len(rows)), rows)]
+    df = spark.createDataFrame(rows, f"vec_id bigint, embedding array<{kind}>").repartition(3)
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in covertree.near_copies(df, block=50).collect()}
+    assert got == brute_vectors(rows)
+
+
 def test_cover_tree_repeated_rows_and_empty_table(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (1, [1.0, 0.0]), (None, [1.0, 0.1])], "vec_id bigint, embedding array<float>")
     assert sorted((r.vec_id or 0, r.n_links, r.component_id) for r in covertree.near_copies(df).collect()) == [
